@@ -6,6 +6,8 @@ running counts come from :mod:`deliverylens.operators.ranks`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,17 +16,18 @@ from deliverylens.operators.ranks import running_sums
 METRIC_NAMES = ("average_precision", "roc_auc", "f1", "precision", "recall", "balanced_accuracy", "accuracy")
 
 
-def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
+def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score."""
-    return df.groupBy(F.col(score).alias("score")).agg(
+    return df.groupBy(*by, F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("positives"),
         F.count_if(F.col(label) == 0).alias("negatives"),
     )
 
 
-def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
+def score_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: its counts and those of all scores at least as high."""
-    curve = running_sums(score_counts(df, score, label), [F.desc("score")], ["positives", "negatives"])
+    counts = score_counts(df, score, label, by)
+    curve = running_sums(counts, [F.desc("score")], ["positives", "negatives"], by)
     return curve.withColumnsRenamed({"cum_positives": "tp", "cum_negatives": "fp"})
 
 
@@ -105,13 +108,22 @@ def confusion_table(df: DataFrame, score: str, label: str, threshold: float) ->
     return confusion_counts(df, score, label, threshold).select(F.inline(rows))
 
 
-def evaluate(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:
-    """The seven metrics and the threshold, in one row."""
-    curve = score_curve(df, score, label)
-    t = F.lit(float(threshold))
+def evaluate(
+    df: DataFrame,
+    score: str,
+    label: str,
+    threshold: float | Column = 0.5,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The seven metrics and the threshold, one row per group.
+
+    ``threshold`` is a number or an expression of the ``by`` columns.
+    """
+    curve = score_curve(df, score, label, by)
+    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     hit = F.col("score") >= t
     gained = F.sum(F.col("positives") * F.col("tp") / (F.col("tp") + F.col("fp")))
-    counts = curve.agg(
+    counts = curve.groupBy(*by).agg(
         _ratio(gained, F.sum("positives")).alias("average_precision"),
         _auc().alias("roc_auc"),
         F.sum(F.when(hit, F.col("positives")).otherwise(0)).alias("tp"),
@@ -126,6 +138,7 @@ def evaluate(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> D
     recalls = F.array_compact(F.array(F.try_divide(F.col("tp"), F.col("p")), F.try_divide(tn, F.col("n"))))
     mean_recall = F.aggregate(recalls, F.lit(0.0), lambda a, x: a + x) / F.size(recalls)
     return counts.select(
+        *by,
         "average_precision",
         "roc_auc",
         _ratio(2 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("p")).alias("f1"),

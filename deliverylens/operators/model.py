@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Interaction, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from deliverylens.operators import metrics
-from deliverylens.operators.checks import stack
 from deliverylens.operators.prep import Preprocessor, category_slots, numeric_columns
 
 C_VALUES = (0.01, 0.1, 1.0, 10.0)
 CLASS_WEIGHTS = (None, "balanced")
+# Widest input for which curvature tables are summed (one number per pair of inputs).
+NEWTON_WIDTH = 1000
 
 
 @dataclass(frozen=True)
@@ -89,6 +94,110 @@ def fit_on(rows: DataFrame, c: float, class_weight: str | None, weights: dict[in
     return LinearModel(tuple(found[:-1]), found[-1], c, class_weight)
 
 
+def _newton_sums(rows: DataFrame, points: dict[int, np.ndarray], weights: dict[int, dict[int, float]]) -> dict[int, np.ndarray]:
+    """Loss, gradient and curvature of each candidate at its current point, from one pass.
+
+    Every task adds up its own rows and emits one vector per candidate; Spark
+    adds the vectors.
+    """
+
+    def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = np.vstack(batch["x"].to_numpy())
+            x = np.hstack([x, np.ones((len(x), 1))])
+            y = batch["y"].to_numpy(dtype=float)
+            upper = np.triu_indices(x.shape[1])
+            for k, beta in points.items():
+                z = x @ beta
+                p = 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
+                s = np.where(y == 1, weights[k].get(1, 1.0), weights[k].get(0, 1.0))
+                loss = (s * (np.logaddexp(0.0, z) - y * z)).sum()
+                curvature = (x * (s * p * (1 - p))[:, None]).T @ x
+                found = np.concatenate([[loss], x.T @ (s * (p - y)), curvature[upper]])
+                totals[k] = totals[k] + found if k in totals else found
+        if totals:
+            yield pd.DataFrame({"candidate": list(totals), "sums": [v.tolist() for v in totals.values()]})
+
+    parts = rows.mapInPandas(partial_sums, "candidate INT, sums ARRAY<DOUBLE>")
+    summed = parts.groupBy("candidate").agg(Summarizer.sum(array_to_vector("sums")).alias("sums"))
+    return {r["candidate"]: r["sums"].toArray() for r in summed.collect()}
+
+
+def fit_grid(
+    features: DataFrame,
+    grid: Sequence[tuple[float, str | None]],
+    label: str = "is_late",
+    max_passes: int = 60,
+    tolerance: float = 1e-10,
+) -> list[LinearModel]:
+    """Fit all candidates together by Newton steps; one pass over the rows per step.
+
+    The penalty is half the squared length of all coefficients, the intercept
+    included, against ``C`` times the weighted loss.
+    """
+    rows = features.select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y"))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        width = len(rows.first()["x"]) + 1
+        weights = {k: class_weights(features, label, cw)[0] for k, (_, cw) in enumerate(grid)}
+        points = {k: np.zeros(width) for k in range(len(grid))}
+        accepted: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
+        done: dict[int, np.ndarray] = {}
+        upper = np.triu_indices(width)
+        for _ in range(max_passes):
+            sums = _newton_sums(rows, points, weights)
+            for k in list(points):
+                c, beta = grid[k][0], points[k]
+                loss = 0.5 * beta @ beta + c * sums[k][0]
+                if k in accepted and loss > accepted[k][0] * (1 + 1e-12):
+                    # The step went too far: halve it.
+                    _, base, step = accepted[k]
+                    accepted[k] = (accepted[k][0], base, step / 2)
+                    points[k] = base - step / 2
+                    continue
+                curvature = np.zeros((width, width))
+                curvature[upper] = sums[k][1 + width :]
+                curvature = c * (curvature + np.triu(curvature, 1).T) + np.eye(width)
+                step = np.linalg.solve(curvature, beta + c * sums[k][1 : 1 + width])
+                accepted[k] = (loss, beta, step)
+                points[k] = beta - step
+                if np.abs(step).max() <= tolerance * (1 + np.abs(beta).max()):
+                    done[k] = points.pop(k)
+            if not points:
+                break
+    finally:
+        rows.unpersist()
+    done |= points
+    return [
+        LinearModel(tuple(done[k][:-1].tolist()), float(done[k][-1]), c, class_weight)
+        for k, (c, class_weight) in enumerate(grid)
+    ]
+
+
+def fit_candidates(
+    features: DataFrame,
+    grid: Sequence[tuple[float, str | None]],
+    key: str = "order_id",
+    label: str = "is_late",
+) -> list[LinearModel]:
+    """L2 logistic regression for each (C, class weight).
+
+    Up to ``NEWTON_WIDTH`` inputs the candidates share a few passes; beyond
+    that the curvature table is too large to pass around and Spark ML's
+    gradient solver fits them one by one.
+    """
+    if len(features.select(vector_to_array("features").alias("x")).first()["x"]) <= NEWTON_WIDTH:
+        return fit_grid(features, grid, label)
+    rows = mirrored(features, key, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return [fit_on(rows, c, cw, *class_weights(features, label, cw)) for c, cw in grid]
+    finally:
+        rows.unpersist()
+
+
 def fit_logistic(
     features: DataFrame,
     key: str = "order_id",
@@ -97,8 +206,7 @@ def fit_logistic(
     class_weight: str | None = None,
 ) -> LinearModel:
     """L2 logistic regression with penalty weight ``c``; the intercept is penalised."""
-    weights, weight_sum = class_weights(features, label, class_weight)
-    return fit_on(mirrored(features, key, label), c, class_weight, weights, weight_sum)
+    return fit_candidates(features, [(c, class_weight)], key, label)[0]
 
 
 @dataclass(frozen=True)
@@ -124,55 +232,63 @@ def tune(
 ) -> TuningResult:
     """Fit the grid on the training rows, rank it by validation average precision.
 
-    Training rows are kept for all fits. Equal scores keep grid order.
+    Equal scores keep grid order.
     """
-    rows = mirrored(train_features, key, label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        found = []
-        for c in c_values:
-            for class_weight in class_weight_values:
-                weights, weight_sum = class_weights(train_features, label, class_weight)
-                model = fit_on(rows, c, class_weight, weights, weight_sum)
-                scored = validation_scores(validation, prep, model, label)
-                result = metrics.evaluate(scored, "score", label, 0.5).first().asDict()
-                found.append((model, {"c": c, "class_weight": class_weight or "None", **result}))
-    finally:
-        rows.unpersist()
-    found.sort(key=lambda item: -item[1]["average_precision"])
-    return TuningResult(tuple(m for m, _ in found), tuple(t for _, t in found))
-
-
-def linear_terms(df: DataFrame, prep: Preprocessor, model: LinearModel) -> tuple[DataFrame, Column]:
-    """``df`` with category slots, and the linear predictor as one expression."""
-    if len(model.coefficients) != prep.width:
-        raise ValueError(f"model has {len(model.coefficients)} coefficients, features have {prep.width}")
+    grid = [(c, cw) for c in c_values for cw in class_weight_values]
+    models = fit_candidates(train_features, grid, key, label)
+    scored = candidate_scores(validation, prep, dict(enumerate(models)), [label])
+    rows = {r["candidate"]: r.asDict() for r in metrics.evaluate(scored, "score", label, 0.5, ["candidate"]).collect()}
+    order = sorted(range(len(models)), key=lambda k: -rows[k]["average_precision"])
+    table = [
+        {"c": models[k].c, "class_weight": models[k].class_weight or "None", **{m: v for m, v in rows[k].items() if m != "candidate"}}
+        for k in order
+    ]
+    return TuningResult(tuple(models[k] for k in order), tuple(table))
+
+
+def linear_terms(df: DataFrame, prep: Preprocessor, models: Sequence[LinearModel]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with scaled inputs and category slots, and each model's linear predictor."""
     numeric = numeric_columns(prep)
-    coefficients = list(model.coefficients)
-    z = F.lit(model.intercept)
-    for weight, expr in zip(coefficients, numeric.values()):
-        z = z + F.lit(weight) * expr
-    at = len(numeric)
-    slots = category_slots(df, prep)
-    for state in prep.categories:
-        weights = F.array(*[F.lit(w) for w in coefficients[at : at + state.width]]).cast("array<double>")
-        z = z + F.coalesce(F.get(weights, F.col(f"{state.feature}__slot")), F.lit(0.0))
-        at += state.width
-    return slots, z
+    scaled = {f"_x{i}": expr for i, expr in enumerate(numeric.values())}
+    rows = category_slots(df.withColumns(scaled), prep)
+    predictors = []
+    for model in models:
+        if len(model.coefficients) != prep.width:
+            raise ValueError(f"model has {len(model.coefficients)} coefficients, features have {prep.width}")
+        z = F.lit(model.intercept)
+        for name, weight in zip(scaled, model.coefficients):
+            z = z + F.lit(weight) * F.col(name)
+        at = len(scaled)
+        for state in prep.categories:
+            part = model.coefficients[at : at + state.width]
+            weights = F.array(*[F.lit(w) for w in part]).cast("array<double>")
+            z = z + F.coalesce(F.get(weights, F.col(f"{state.feature}__slot")), F.lit(0.0))
+            at += state.width
+        predictors.append(z)
+    return rows, predictors
+
+
+def _logistic(z: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
 def class_probabilities(df: DataFrame, prep: Preprocessor, model: LinearModel, name: str = "probability") -> DataFrame:
     """Add the class probabilities as an array in the order of ``model.classes``."""
-    slots, z = linear_terms(df, prep, model)
-    second = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-    return slots.withColumn("_p", second).select(*df.columns, F.array(1 - F.col("_p"), F.col("_p")).alias(name))
+    rows, (z,) = linear_terms(df, prep, [model])
+    second = rows.withColumn("_p", _logistic(z))
+    return second.select(*df.columns, F.array(1 - F.col("_p"), F.col("_p")).alias(name))
 
 
-def validation_scores(df: DataFrame, prep: Preprocessor, model: LinearModel, label: str = "is_late") -> DataFrame:
-    slots, z = linear_terms(df, prep, model)
-    return slots.select(F.col(label), (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("score"))
+def candidate_scores(df: DataFrame, prep: Preprocessor, models: dict[object, LinearModel], keep: Sequence[str]) -> DataFrame:
+    """Long form: one row per row and model, with the model's name and score."""
+    rows, predictors = linear_terms(df, prep, list(models.values()))
+    scores = [
+        F.struct(F.lit(name).alias("candidate"), _logistic(z).alias("score")) for name, z in zip(models, predictors)
+    ]
+    return rows.select(*keep, F.inline(F.array(*scores)))
 
 
-def comparison_table(rows: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Metric rows of several models under one another."""
-    columns = ("model", *metrics.METRIC_NAMES, "threshold")
-    return stack([df.withColumn("model", F.lit(name)).select(*columns) for name, df in rows])
+def model_scores(df: DataFrame, prep: Preprocessor, model: LinearModel, keep: Sequence[str] = ("is_late",)) -> DataFrame:
+    """``keep`` columns and the positive-class score."""
+    rows, (z,) = linear_terms(df, prep, [model])
+    return rows.select(*keep, _logistic(z).alias("score"))

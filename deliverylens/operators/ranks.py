@@ -28,23 +28,26 @@ def running_sums(
     df: DataFrame,
     order_by: Sequence[Column],
     measures: Sequence[str],
+    groups: Sequence[str] = (),
     prefix: str = "cum_",
 ) -> DataFrame:
-    """Add the running sum of each measure in the given order.
+    """Add the running sum of each measure in the given order, per group.
 
-    ``order_by`` must be unique per row. The range totals, one row per range,
-    are the only rows one window sees together.
+    ``order_by`` must be unique within a group. A large group is spread over
+    many ranges. The range totals, one row per group and range, are the only
+    rows a window sees together across ranges.
     """
-    ranges = _sorted_ranges(df, order_by)
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranges.groupBy(_PART).agg(*[F.sum(m).alias(f"_total_{m}") for m in measures])
+    ranges = _sorted_ranges(df, [*[F.col(g) for g in groups], *order_by])
+    before = Window.partitionBy(*groups).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranges.groupBy(*groups, _PART).agg(*[F.sum(m).alias(f"_total_{m}") for m in measures])
     offsets = totals.select(
+        *groups,
         _PART,
         *[F.coalesce(F.sum(f"_total_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
     )
-    inside = Window.partitionBy(_PART).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*groups, _PART).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     summed = ranges.select("*", *[F.sum(m).over(inside).alias(f"_inside_{m}") for m in measures])
-    return summed.join(offsets, _PART).select(
+    return summed.join(offsets, [*groups, _PART]).select(
         *df.columns,
         *[(F.col(f"_inside_{m}") + F.col(f"_before_{m}")).alias(prefix + m) for m in measures],
     )

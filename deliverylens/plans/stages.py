@@ -7,16 +7,19 @@ columns and the part they need.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.operators import metrics, model, prep, split
+from deliverylens.operators.checks import stack
 from deliverylens.operators.features import engineer_features, profile_features, select_model_features
 from deliverylens.operators.labels import add_label, labelable
 from deliverylens.operators.mart import build_order_mart
 from deliverylens.session import run_dir
 from deliverylens.sources.bundle import Bundle
-from deliverylens.sources.fixtures import commerce_tables
+from deliverylens.sources.fixtures import commerce_table, commerce_tables
 from deliverylens.sources.tables import write_checked
 
 PURCHASE_TIME = "order_purchase_timestamp"
@@ -25,9 +28,15 @@ PURCHASE_TIME = "order_purchase_timestamp"
 class Stages:
     """Lazily built stage results over one set of commerce tables."""
 
-    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        tables: dict[str, DataFrame],
+        log_lines: Callable[[str], DataFrame] | None = None,
+    ):
         self.spark = spark
         self.tables = tables
+        self._log_lines = log_lines
         self._built: dict[str, object] = {}
 
     def _once(self, name: str, build):
@@ -35,6 +44,12 @@ class Stages:
             self._built[name] = build()
         return self._built[name]
 
+    def log(self, name: str) -> DataFrame:
+        """Text lines of ``request_log`` or ``prediction_log`` in column ``value``."""
+        if self._log_lines is None:
+            raise ValueError("these stages have no logs")
+        return self._log_lines(name)
+
     def labelled_lazy(self) -> DataFrame:
         """Mart, label and filter as one plan over the raw tables.
 
@@ -108,7 +123,7 @@ class Stages:
 
         def build() -> Bundle:
             best = self.tuning().best
-            scored = model.validation_scores(self.engineered("validation"), self.preprocessor(), best)
+            scored = model.model_scores(self.engineered("validation"), self.preprocessor(), best)
             threshold = metrics.best_threshold(scored, "score", "is_late").first()["threshold"]
             return Bundle(self.preprocessor(), best, threshold, "v1")
 
@@ -125,28 +140,19 @@ class Stages:
         """Metric rows of baseline, first model and chosen model on validation, and on test."""
         bundle = self.bundle()
         rate = model.prior_rate(self.train())
-        validation, test = self.engineered("validation"), self.engineered("test")
-        prior = validation.select("is_late", model.prior_score(rate).alias("score"))
         first = next(m for m in self.tuning().models if m.c == 1.0 and m.class_weight is None)
-
-        def scores(rows: DataFrame, m: model.LinearModel) -> DataFrame:
-            return model.validation_scores(rows, bundle.preprocessor, m)
-
-        rows = model.comparison_table(
+        validation, test = self.engineered("validation"), self.engineered("test")
+        label = ["is_late"]
+        scored = stack(
             [
-                ("baseline|prior|validation", metrics.evaluate(prior, "score", "is_late", 0.5)),
-                ("initial|logistic|validation", metrics.evaluate(scores(validation, first), "score", "is_late", 0.5)),
-                (
-                    "final|logistic|validation",
-                    metrics.evaluate(scores(validation, bundle.model), "score", "is_late", bundle.threshold),
-                ),
-                ("final|logistic|test", metrics.evaluate(scores(test, bundle.model), "score", "is_late", bundle.threshold)),
+                validation.select(*label, F.lit("baseline").alias("candidate"), model.prior_score(rate).alias("score")),
+                model.candidate_scores(validation, bundle.preprocessor, {"initial_model_validation": first, "final_validation": bundle.model}, label),
+                model.candidate_scores(test, bundle.preprocessor, {"final_test": bundle.model}, label),
             ]
         )
-        parts = F.split("model", r"\|")
-        return rows.select(
-            parts[0].alias("stage"), parts[1].alias("model"), parts[2].alias("section"), *metrics.METRIC_NAMES, "threshold"
-        )
+        chosen = F.col("candidate").startswith("final")
+        threshold = F.when(chosen, F.lit(bundle.threshold)).otherwise(F.lit(0.5))
+        return metrics.evaluate(scored, "score", "is_late", threshold, ["candidate"]).withColumnRenamed("candidate", "section")
 
 
 _RUNS: dict[tuple[str, str], Stages] = {}
@@ -156,5 +162,7 @@ def fixture_stages(spark: SparkSession, sf_dir: str) -> Stages:
     """Stages over the generated test tables, shared within one Spark application."""
     run = (spark.sparkContext.applicationId, sf_dir)
     if run not in _RUNS:
-        _RUNS[run] = Stages(spark, commerce_tables(spark, sf_dir))
+        _RUNS[run] = Stages(
+            spark, commerce_tables(spark, sf_dir), lambda name: commerce_table(spark, sf_dir, name)
+        )
     return _RUNS[run]
