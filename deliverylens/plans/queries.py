@@ -35,12 +35,15 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
-def query(name: str) -> Callable[[Callable[[Stages], DataFrame]], Callable[[Stages], DataFrame]]:
-    """Register a function of the stages under ``name``."""
+def query(name: str, places: int = 6) -> Callable[[Callable[[Stages], DataFrame]], Callable[[Stages], DataFrame]]:
+    """Register a function of the stages under ``name``.
+
+    Day fractions take seven places, where no second falls on a half.
+    """
 
     def add(fn: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return rounded(fn(fixture_stages(spark, sf_dir)))
+            return rounded(fn(fixture_stages(spark, sf_dir)), places)
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -307,7 +310,7 @@ def _(st):
 # --- projections and filters ------------------------------------------------
 
 
-@query("p1_model_features")
+@query("p1_model_features", 7)
 def _(st):
     return feat.select_model_features(feat.engineer_features(st.train()), keep=["order_id"])
 
@@ -786,7 +789,7 @@ _on_purchase("f6_weekday_name", "purchase_weekday", dates.weekday_name)
 _on_purchase("f7_hour", "purchase_hour", F.hour)
 
 
-@query("f8_elapsed_days")
+@query("f8_elapsed_days", 7)
 def _(st):
     bought = F.col(PURCHASE_TIME)
     return st.tables["orders"].select(
@@ -830,7 +833,7 @@ def _(st):
     return rows.select("order_id", geo.haversine_km(*[F.col(p) for p in points]).alias("customer_seller_distance_km"))
 
 
-@query("f14_engineer_features")
+@query("f14_engineer_features", 7)
 def _(st):
     return feat.engineer_features(st.labelled()).select("order_id", "is_late", *feat.ENGINEERED_FEATURES)
 

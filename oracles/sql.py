@@ -224,6 +224,7 @@ add(
     "p1_model_features",
     f"SELECT order_id, {', '.join(NUMERIC_FEATURES + CATEGORICAL_FEATURES)} FROM t_engineered WHERE split = 'train'",
     FEATURE_DOUBLES,
+    7,
 )
 add("p2_prediction_input", f"SELECT {', '.join(INPUTS)} FROM t_train", INPUT_DOUBLES)
 LABELABLE = "order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL AND order_estimated_delivery_date IS NOT NULL"
@@ -603,6 +604,7 @@ add(
     f"SELECT order_id, {seconds('order_estimated_delivery_date', TS)} / 86400.0::DOUBLE AS estimated_delivery_days, "
     f"{seconds('order_delivered_customer_date', TS)} / 86400.0::DOUBLE AS actual_delivery_days FROM m_orders",
     "estimated_delivery_days actual_delivery_days",
+    7,
 )
 add(
     "f9_approval_hours",
@@ -620,6 +622,7 @@ add(
     "f14_engineer_features",
     f"SELECT order_id, is_late, {', '.join(ENGINEERED_FEATURES)} FROM t_engineered",
     " ".join(c for c in ENGINEERED_FEATURES if c in FEATURE_DOUBLES.split()),
+    7,
 )
 add("f15_normalized_city", "SELECT customer_id, lower(trim(customer_city)) AS city FROM m_customers")
 MIXED = "CASE event_id % 6 WHEN 0 THEN event_id WHEN 1 THEN event_id WHEN 2 THEN 1 END"

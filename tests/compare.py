@@ -63,10 +63,10 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str, limit: int = 3) ->
     got = sorted((tuple(_plain(r[n]) for n in names) for r in df.collect()), key=key)
     if len(want) != len(got):
         problems.append(f"rows: spark {len(got)}, sql {len(want)}")
-    missing = [r for r in got if r not in set(want)] if len(got) < 200_000 else []
     if got != want:
-        other = set(got)
-        absent = [r for r in want if r not in other]
+        in_spark, in_sql = set(got), set(want)
+        missing = [r for r in got if r not in in_sql]
+        absent = [r for r in want if r not in in_spark]
         for a, b in list(zip(missing, absent))[:limit]:
             diff = {n: (x, y) for n, x, y in zip(names, a, b) if x != y}
             problems.append(f"spark vs sql: {diff}")
