@@ -142,50 +142,83 @@ def item_details(
     )
 
 
-def _set_size(name: str) -> Column:
-    return F.size(F.collect_set(name)).cast("bigint")
+def _most_frequent(value: Column, rows: Column) -> Column:
+    """Most frequent non-null value over counted values, the smallest of equals."""
+    return F.min(F.when(value.isNotNull(), F.struct((-rows).alias("n"), value.alias("v"))))["v"]
+
+
+# Columns whose values are counted per order, by the short name of the count.
+_COUNTED = {
+    "product": "product_id",
+    "seller": "seller_id",
+    "category": "product_category_name",
+    "english": "product_category_name_english",
+    "state": "seller_state",
+}
 
 
 def aggregate_items(details: DataFrame) -> DataFrame:
     """Item measures per order, 20 of them.
 
-    Products and sellers per order are counted by Spark's two-step distinct
-    aggregate, which spreads one huge order over many tasks. Categories and
-    states come from short closed lists, so a set of them per order is small.
+    Sums and means are one plain aggregate. Distinct counts and modes come
+    from rows counted per order and value: both steps combine before their
+    shuffle and keep flat buffers, so an order with very many items is spread
+    over many tasks and no set of values is ever held in memory.
     """
-    measures = (
+    sums = details.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.count_distinct("seller_id").alias("unique_sellers"),
         F.sum("price").alias("total_item_price"),
         F.avg("price").alias("avg_item_price"),
         F.sum("freight_value").alias("total_freight_value"),
         F.avg("freight_value").alias("avg_freight_value"),
         F.max("shipping_limit_date").alias("max_shipping_limit_date"),
-        _set_size("product_category_name").alias("unique_product_categories"),
-        F.mode("product_category_name_english", True).alias("primary_product_category"),
         F.avg("product_weight_g").alias("avg_product_weight_g"),
         F.max("product_weight_g").alias("max_product_weight_g"),
         F.avg("product_length_cm").alias("avg_product_length_cm"),
         F.avg("product_height_cm").alias("avg_product_height_cm"),
         F.avg("product_width_cm").alias("avg_product_width_cm"),
         F.avg("product_photos_qty").alias("avg_product_photos_qty"),
-        _set_size("seller_state").alias("unique_seller_states"),
-        F.mode("seller_state", True).alias("primary_seller_state"),
         F.avg("seller_lat").alias("avg_seller_lat"),
         F.avg("seller_lng").alias("avg_seller_lng"),
     )
-    return details.groupBy("order_id").agg(*measures)
+    values = details.select("order_id", *[F.col(c).cast("string").alias(k) for k, c in _COUNTED.items()])
+    counted = (
+        values.unpivot(["order_id"], list(_COUNTED), "kind", "value")
+        .groupBy("order_id", "kind", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    kind, value = F.col("kind"), F.col("value")
+
+    def distinct(name: str) -> Column:
+        return F.count_if((kind == name) & value.isNotNull())
+
+    def mode(name: str) -> Column:
+        return _most_frequent(F.when(kind == name, value), F.col("n"))
+
+    picked = counted.groupBy("order_id").agg(
+        distinct("product").alias("unique_products"),
+        distinct("seller").alias("unique_sellers"),
+        distinct("category").alias("unique_product_categories"),
+        mode("english").alias("primary_product_category"),
+        distinct("state").alias("unique_seller_states"),
+        mode("state").alias("primary_seller_state"),
+    )
+    return sums.join(picked, "order_id").select("order_id", *ITEM_COLUMNS)
 
 
 def aggregate_payments(payments: DataFrame) -> DataFrame:
-    """Payment measures per order."""
-    return payments.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("payment_records"),
-        F.count_distinct("payment_type").alias("payment_types_count"),
-        F.sum("payment_value").alias("payment_total"),
-        F.max("payment_installments").alias("payment_installments_max"),
-        F.mode("payment_type", True).alias("primary_payment_type"),
+    """Payment measures per order, from payments summed per order and type."""
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("payment_value").alias("value"),
+        F.max("payment_installments").alias("installments"),
+    )
+    return per_type.groupBy("order_id").agg(
+        F.sum("n").alias("payment_records"),
+        F.count("payment_type").alias("payment_types_count"),
+        F.sum("value").alias("payment_total"),
+        F.max("installments").alias("payment_installments_max"),
+        _most_frequent(F.col("payment_type"), F.col("n")).alias("primary_payment_type"),
     )
 
 

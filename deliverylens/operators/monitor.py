@@ -42,12 +42,13 @@ def prediction_events(records: DataFrame) -> DataFrame:
     record = F.col("record")
     keep = [c for c in records.columns if c != "record"]
     output = F.try_variant_get(record, "$.output", "variant")
-    found = records.filter(text_field(record, "$.event") == "prediction").select(
-        *keep,
+    fields = F.struct(
         is_object(output).alias("_has_output"),
         safe_float(record, "$.output.late_probability").alias("late_probability"),
         safe_int(record, "$.output.predicted_is_late").alias("predicted_is_late"),
     )
+    # Fields are read once; the checks below look at the values.
+    found = records.filter(text_field(record, "$.event") == "prediction").select(*keep, F.inline(F.array(fields)))
     return found.filter(
         F.col("_has_output") & F.col("late_probability").isNotNull() & F.col("predicted_is_late").isin(0, 1)
     ).drop("_has_output")

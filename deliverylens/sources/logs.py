@@ -36,9 +36,9 @@ class LogScan:
 def scan_lines(df: DataFrame, column: str = "value") -> LogScan:
     """Parse log text lines; blank lines are skipped, lines that hold no object are invalid."""
     filled = df.filter(F.trim(F.translate(column, "\t\r\n", "   ")) != "")
-    record = parse_line(F.col(column))
     keep = [c for c in df.columns if c != column]
-    parsed = filled.select(*keep, record.alias("record"))
+    # A generator keeps later filters above the parse, so a line is parsed once.
+    parsed = filled.select(*keep, F.explode(F.array(parse_line(F.col(column)))).alias("record"))
     return LogScan(parsed.withColumn("valid", is_object(F.col("record"))))
 
 
