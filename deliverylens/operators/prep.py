@@ -189,9 +189,9 @@ def numeric_columns(prep: Preprocessor) -> dict[str, Column]:
 
 
 def _dictionary(spark: SparkSession, state: CategoryState) -> DataFrame:
-    rows = [(value, slot) for slot, value in enumerate(state.categories)]
-    table = spark.createDataFrame(rows, "_category STRING, _slot INT")
-    return F.broadcast(table) if len(rows) <= BROADCAST_CATEGORIES else table
+    values = F.array(*[F.lit(v) for v in state.categories]).cast("array<string>")
+    table = spark.range(1).select(F.posexplode(values).alias("_slot", "_category"))
+    return F.broadcast(table) if len(state.categories) <= BROADCAST_CATEGORIES else table
 
 
 def category_slots(df: DataFrame, prep: Preprocessor) -> DataFrame:

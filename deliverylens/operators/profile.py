@@ -168,7 +168,7 @@ def highest_late_month(monthly: DataFrame) -> DataFrame:
 
 def weekday_table(df: DataFrame) -> DataFrame:
     """Late rates for Monday to Sunday; a day without orders has null measures."""
-    days = df.sparkSession.createDataFrame([(d,) for d in WEEKDAYS], "purchase_weekday STRING")
+    days = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(d) for d in WEEKDAYS])).alias("purchase_weekday"))
     rates = late_rate_by(df, "purchase_weekday", drop_null=True)
     return F.broadcast(days).join(rates, "purchase_weekday", "left")
 
