@@ -397,19 +397,19 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def approximate_profile(df: DataFrame, columns: Sequence[str] | None = None, error: float = 0.02) -> DataFrame:
-    """As :func:`column_profile` with sketched distinct counts: one pass, no wide shuffle."""
+    """As :func:`column_profile` with sketched distinct counts: one small sketch per
+    column and task is shuffled instead of the values."""
     columns = list(columns or df.columns)
-    n = F.count(F.lit(1))
-
-    def measures(c: str) -> dict[str, Column]:
-        missing = F.count_if(F.col(c).isNull())
-        return {
-            "missing_count": missing,
-            "missing_pct": missing / n * 100,
-            "unique_values": F.approx_count_distinct(c, error) + F.when(missing > 0, 1).otherwise(0),
-        }
-
-    return aggregate_each(df, columns, measures, name="column_name")
+    missing = F.count_if(F.col("value").isNull())
+    return (
+        long_values(df, columns, as_type="string")
+        .groupBy(F.col("feature").alias("column_name"))
+        .agg(
+            missing.alias("missing_count"),
+            (missing / F.count(F.lit(1)) * 100).alias("missing_pct"),
+            (F.approx_count_distinct("value", error) + F.when(missing > 0, 1).otherwise(0)).alias("unique_values"),
+        )
+    )
 
 
 def missing_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
