@@ -276,7 +276,7 @@ def build_order_mart(
     return mart.select(*columns)
 
 
-def recent_order_customers(orders: DataFrame, customers: DataFrame, rows: int) -> DataFrame:
+def first_orders_with_customers(orders: DataFrame, customers: DataFrame, rows: int) -> DataFrame:
     """First orders by id with their customer's place."""
     return (
         orders.join(customers, "customer_id")

@@ -162,11 +162,16 @@ def fit(
         r = scaler[name]
         return r["mean"], _scale(r["variance"], r["mean"], r["rows"])
 
+    # The kept categories, and one row without a category for each feature that folds some.
     categories = fit_categories(train, categorical, min_frequency)
+    state = categories.select("feature", F.when(F.col("kept"), F.col("category")).alias("category")).distinct()
     kept: dict[str, list[str]] = {c: [] for c in categorical}
-    for r in categories.filter("kept").select("feature", "category").collect():
-        kept[r["feature"]].append(r["category"])
-    folded = {r["feature"] for r in categories.filter(~F.col("kept")).select("feature").distinct().collect()}
+    folded = set()
+    for r in state.collect():
+        if r["category"] is None:
+            folded.add(r["feature"])
+        else:
+            kept[r["feature"]].append(r["category"])
     return Preprocessor(
         tuple(numeric),
         tuple(categorical),

@@ -170,7 +170,7 @@ def weekday_table(df: DataFrame) -> DataFrame:
     """Late rates for Monday to Sunday; a day without orders has null measures."""
     days = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(d) for d in WEEKDAYS])).alias("purchase_weekday"))
     rates = late_rate_by(df, "purchase_weekday", drop_null=True)
-    return F.broadcast(days).join(rates, "purchase_weekday", "left")
+    return days.join(rates, "purchase_weekday", "left")
 
 
 def crosstab_pct(df: DataFrame, dimension: str, label: str = "is_late") -> DataFrame:
@@ -266,7 +266,10 @@ def outlier_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], label: str = "is_late") -> DataFrame:
-    """Quartiles and whiskers per class; whiskers end at the last value inside the bounds."""
+    """Quartiles and whiskers per class; whiskers end at the last value inside the bounds.
+
+    The broadcast bounds have one row per class and column.
+    """
     bounds = _bounds(df, columns, [label])
     inside = (F.col("value") >= F.col("lower_bound")) & (F.col("value") <= F.col("upper_bound"))
     whiskers = (
@@ -462,8 +465,7 @@ def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 def categorical_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct and missing values and the most frequent value, the smallest of equals."""
     counts = value_counts(df, columns, "feature")
-    # Ordering by (count, not null first, reversed text) is not possible with one
-    # max, so the top count is found first and its smallest value second.
+    # The top count is found first and the smallest value with that count second.
     totals = counts.groupBy("feature").agg(
         F.count(F.lit(1)).alias("unique_values"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing_count"),

@@ -409,7 +409,7 @@ def _(st):
 
 @query("j4_orders_with_customers")
 def _(st):
-    return mart.recent_order_customers(st.tables["orders"], st.tables["customers"], 5)
+    return mart.first_orders_with_customers(st.tables["orders"], st.tables["customers"], 5)
 
 
 @query("j5_split_overlap")
