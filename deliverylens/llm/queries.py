@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deliverylens.llm import suffix_dedup
+from deliverylens.llm import near_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("rest.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", digest)
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup}
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set size and near-duplicate group of every document."""
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_near_dedup": op2_near_dedup}
 
 ORACLES: dict[str, str] = {}

@@ -47,6 +47,7 @@ GRAM = 16
 LEFT = LENGTH - GRAM  # the anchor starts 0 to LEFT bytes after the window
 FLUSH = 4_000_000  # anchors a task gathers before it sends them
 SAMPLE_BYTES = 32 << 20  # text from which splitters are drawn
+SENT = 6  # low bytes of a hash that are sent; a wrong hit only adds a suffix to compare
 SEGMENT = 1 << 15  # up to here a stretch is sorted by all words at once
 
 
@@ -109,7 +110,7 @@ def anchor_entries(n_buckets: int):
                     {
                         "bucket": pa.array(bucket[at].astype(np.int32)),
                         "kind": pa.array(np.full(len(at), kind, np.int32)),
-                        "hashes": pa.array([x[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
+                        "hashes": pa.array([x[a:b].view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes() for a, b in zip(at, ends)], pa.binary()),
                         "ids": pa.array([y[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()),
                     }
                 )
@@ -132,14 +133,22 @@ def anchor_entries(n_buckets: int):
     return run
 
 
+def short(h: np.ndarray) -> np.ndarray:
+    """The low half of hashes, which tells the anchors of one document apart well enough."""
+    return (h & U64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+
+
 def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(ord, h) of anchors that another document holds too."""
     hashes, ids = [], []
     for batch in batches:
         for kind, h, d in zip(*(batch.column(c).to_pylist() for c in ("kind", "hashes", "ids"))):
-            h, d = np.frombuffer(h, U64), np.frombuffer(d, np.int64)
+            d = np.frombuffer(d, np.int64)
+            wide = np.zeros((len(d), 8), np.uint8)
+            wide[:, :SENT] = np.frombuffer(h, np.uint8).reshape(-1, SENT)
+            h = wide.view(U64).ravel()
             if kind:
-                yield pa.record_batch({"ord": pa.array(d), "h": pa.array(h.view(np.int64))})
+                yield pa.record_batch({"ord": pa.array(d), "h": pa.array(short(h))})
             else:
                 hashes.append(h)
                 ids.append(d)
@@ -151,7 +160,7 @@ def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         low, high = np.minimum.reduceat(d, start), np.maximum.reduceat(d, start)
         hit = np.repeat(low < high, np.diff(np.append(start, len(h)))) & (d >= 0)
         # One id and the mark of a task: it repeats as well. Marks alone need no answer.
-        yield pa.record_batch({"ord": pa.array(d[hit]), "h": pa.array(h[hit].view(np.int64))})
+        yield pa.record_batch({"ord": pa.array(d[hit]), "h": pa.array(short(h[hit]))})
 
 
 # Steps 2 and 3: sorted suffixes.
@@ -271,7 +280,7 @@ def suffix_rows(splitters: list[bytes] | None):
             for i, (key, th, text) in enumerate(zip(*columns)):
                 data = np.frombuffer(text, np.uint8)
                 first, last, place, h = anchors(data, powers)
-                keep = np.isin(h.view(np.int64), flat[ends[i] : ends[i + 1]])
+                keep = np.isin(short(h), flat[ends[i] : ends[i + 1]])
                 if not keep.any():
                     continue
                 first, last, place = first[keep], last[keep], place[keep]
@@ -355,22 +364,17 @@ def sorted_bucket(want_windows: bool, shared: list[bytes]):
 
 # The remaining bytes.
 
+BACK = np.arange(LEFT + 1)
+
 KEPT_FIELDS = "n_bytes long, n_removed long, n_spans long, spans array<struct<first:int,last:int>>, kept binary"
 
 
-def cut_text(text: bytes, th: int, marks: list[dict] | None) -> tuple[int, int, np.ndarray, bytes]:
+def cut_text(text: bytes, place: np.ndarray, bits: np.ndarray) -> tuple[int, int, np.ndarray, bytes]:
     """Bytes, removed bytes, removed stretches and what is left of one text."""
-    if not marks:
-        return len(text), 0, np.zeros((0, 2), np.int64), text
-    bits = np.array([m["covered"] for m in marks if m["th"] == th], np.int64).view(U64)
-    place = np.array([m["place"] for m in marks if m["th"] == th], np.int64)
     if not len(bits):
         return len(text), 0, np.zeros((0, 2), np.int64), text
-    change = np.zeros(len(text) + 1, np.int64)
-    for a in range(LEFT + 1):
-        start = place[((bits >> U64(a)) & U64(1)) > 0] - a
-        np.add.at(change, start, 1)
-        np.add.at(change, start + LENGTH, -1)
+    start = (place[:, None] - BACK)[((bits[:, None] >> BACK.astype(U64)) & U64(1)) > 0]
+    change = np.bincount(start, minlength=len(text) + 1) - np.bincount(start + LENGTH, minlength=len(text) + 1)
     gone = np.cumsum(change[:-1]) > 0
     edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
     return len(text), int(gone.sum()), edges.reshape(-1, 2), np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -379,7 +383,14 @@ def cut_text(text: bytes, th: int, marks: list[dict] | None) -> tuple[int, int,
 def keep_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("first", pa.int32()), ("last", pa.int32())])
     for batch in batches:
-        found = [cut_text(t, h, m) for t, h, m in zip(*(batch.column(c).to_pylist() for c in ("bytes", "th", "marks")))]
+        marks = batch.column("marks")
+        fields = marks.values
+        th, place, bits = (fields.field(c).to_numpy(zero_copy_only=False) for c in ("th", "place", "covered"))
+        ends = marks.offsets.to_numpy()
+        found = []
+        for i, (text, own) in enumerate(zip(batch.column("bytes").to_pylist(), batch.column("th").to_pylist())):
+            at = ends[i] + np.flatnonzero(th[ends[i] : ends[i + 1]] == own)
+            found.append(cut_text(text, place[at], bits[at].view(U64)))
         n, removed, spans, kept = zip(*found) if found else ((), (), (), ())
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in spans])]).astype(np.int32)
         flat = np.concatenate(spans).astype(np.int32) if len(spans) else np.zeros((0, 2), np.int32)
@@ -411,7 +422,7 @@ def draw_splitters(keyed: DataFrame, flags: DataFrame, total: int, n_parts: int)
 def mark_repeats(keyed: DataFrame, spark: SparkSession, n_parts: int, total: int) -> DataFrame:
     """Marks (ord, th, place, covered) of windows that documents with smaller ids hold."""
     entries = keyed.select("ord", "bytes").mapInArrow(anchor_entries(4 * n_parts), "bucket int, kind int, hashes binary, ids binary")
-    found = entries.repartition(n_parts, "bucket").mapInArrow(repeated_anchors, "ord long, h long")
+    found = entries.repartition(n_parts, "bucket").mapInArrow(repeated_anchors, "ord long, h int")
     path = run_dir(spark, "anchors")
     found.groupBy("ord").agg(F.collect_list("h").alias("hs")).write.parquet(path)
     flags = spark.read.parquet(path)
