@@ -2,18 +2,50 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from deliverylens.llm import suffix_dedup
+from deliverylens.llm import byte_bpe, near_dedup, pfair_mix, quality_fm, suffix_dedup
+from deliverylens.llm.queries import QUALITY_CUT, RANK_FILE, learned_quality
 from deliverylens.session import run_dir
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: documents that the classifier rejects go."""
+    scored = quality_fm.score(docs, learned_quality(spark, docs, sf_dir)).where(F.col("score") >= QUALITY_CUT)
+    return scored.select(*(F.col("bytes").cast("string").alias(c) if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
+
+
+def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: one document of each group of near duplicates stays."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: byte strings that an earlier document holds are cut out."""
-    return suffix_dedup.strip_repeats(docs)
+    cut = suffix_dedup.strip_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: the rows are put in the order of the mixture."""
+    return pfair_mix.in_order(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: token ids, and whether they decode to the text."""
+    out = byte_bpe.encode_decode(docs.withColumn("original", F.coalesce(F.col("text"), F.lit("")).cast("binary")), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    return out.select("rest.doc_id", "rest.lang", "rest.source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("rest.original")).alias("round_trip"))
 
 
-STAGES = [("suffix_dedup", cut_repeats)]
+STAGES = [
+    ("quality_classifier", keep_good),
+    ("near_dedup", keep_first),
+    ("suffix_dedup", cut_repeats),
+    ("pfair_mix", mix_sources),
+    ("byte_bpe", encode),
+]
 
 #: No SQL: the classifier is trained.
 ORACLE_SQL = None

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deliverylens.llm import near_dedup, suffix_dedup
+from deliverylens.llm import byte_bpe, near_dedup, pfair_mix, quality_fm, suffix_dedup
+
+QUALITY_CUT = 0.7
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+def checksum(parts: int) -> Column:
+    """The remainder by which labelled rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +33,41 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_near_dedup": op2_near_dedup}
+def learned_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_fm.Machine:
+    """The classifier, from labelled rows outside the held-out part."""
+    return quality_fm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality", learn=checksum(4) != 2)
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = documents(spark, sf_dir)
+    scored = quality_fm.score(docs, learned_quality(spark, docs, sf_dir)).select("rest.doc_id", "score")
+    held_out = F.coalesce(checksum(4) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of the bytes they decode to."""
+    out = byte_bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    return out.select(
+        "rest.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mixture that weighs sources by the square root of their size."""
+    return pfair_mix.mix(documents(spark, sf_dir).select("doc_id", "source"))
+
+
+QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_near_dedup": op2_near_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op9_pfair_mix": op9_pfair_mix,
+}
 
 ORACLES: dict[str, str] = {}
