@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deliverylens.llm import byte_bpe, near_dedup, pfair_mix, quality_fm, suffix_dedup
+from deliverylens.llm import byte_bpe, near_dedup, pfair_mix, quality_fm, quality_rules, suffix_dedup, toxicity, url_filter
 
 QUALITY_CUT = 0.7
+TOXIC_CUT = 0.5
+#: Labels of hosts whose pages make the list of operator 8.
+LISTED_LABELS = ("adult-x", "casino-win", "free-bets", "spam-farm")
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -57,17 +60,70 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, and the verdict of the base and of the chosen cutoffs."""
+    judged = quality_rules.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("rest.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """The URLs of the list: those of pages on hosts whose name has a listed label."""
+    host = F.split(url_filter.host_of(F.col("url")), r"\.")
+    return pages.where(F.arrays_overlap(host, F.array(*map(F.lit, LISTED_LABELS)))).select("url").distinct()
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_filter.judge(pages, listed_urls(pages)).select("page.page_id", "host", "path", "rule", "verdict")
+
+
 def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in a mixture that weighs sources by the square root of their size."""
     return pfair_mix.mix(documents(spark, sf_dir).select("doc_id", "source"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic", learn=checksum(5) != 0)
+    scored = toxicity.score(docs, model).select("rest.doc_id", "score")
+    held_out = F.coalesce(checksum(5) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_url_filter": op8_url_filter,
     "op9_pfair_mix": op9_pfair_mix,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+_URL_PARTS = """
+    SELECT page_id, url, translate(regexp_extract(tail, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS tail FROM pages)
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_url_filter": f"""
+        WITH parts AS ({_URL_PARTS}),
+        keyed AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '/+$', '') END AS key FROM parts),
+        listed AS (SELECT DISTINCT key FROM keyed
+                   WHERE list_has_any(string_split(host, '.'), ['adult-x', 'casino-win', 'free-bets', 'spam-farm'])),
+        ruled AS (SELECT *, CASE
+            WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM keyed)
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+            WHEN rule IS NOT NULL THEN 'allow'
+            WHEN key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled
+    """,
+}
