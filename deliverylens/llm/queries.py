@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deliverylens.llm import byte_bpe, near_dedup, pfair_mix, quality_fm, quality_rules, suffix_dedup, toxicity, url_filter
+from deliverylens.llm import byte_bpe, lm_contrast, near_dedup, pfair_mix, quality_fm, quality_rules, quartile_digest, suffix_dedup, toxicity, url_filter
 
 QUALITY_CUT = 0.7
+TARGET_SOURCES = ("src1", "src2")
 TOXIC_CUT = 0.5
 #: Labels of hosts whose pages make the list of operator 8.
 LISTED_LABELS = ("adult-x", "casino-win", "free-bets", "spam-farm")
@@ -60,6 +61,18 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document between a trusted source and the whole corpus."""
+    docs = documents(spark, sf_dir)
+    return lm_contrast.score(docs, F.col("source").isin(*TARGET_SOURCES))
+
+
+def op6_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likenesses."""
+    made = quartile_digest.edit_chain(documents(spark, sf_dir))
+    return made.select("rest.doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, and the verdict of the base and of the chosen cutoffs."""
     judged = quality_rules.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -97,6 +110,8 @@ QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_lm_contrast": op5_lm_contrast,
+    "op6_quartile_digest": op6_quartile_digest,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
     "op9_pfair_mix": op9_pfair_mix,
