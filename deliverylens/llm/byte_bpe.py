@@ -24,11 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import ship
+from deliverylens.llm.common import ship, small_batches
 
 ship(__name__)
 
-KNOWN_PIECES = 1_000_000  # pieces a task remembers before it starts anew
+KNOWN_PIECES = 300_000  # pieces a task remembers before it starts anew
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -149,6 +149,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, text_column: str = "
 
     ``path`` names the rank file, which every executor has.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), F.col(text_column).cast("string").alias("text"))
     rest = rows.schema["rest"].dataType.simpleString()
     return rows.mapInArrow(tokenizer(path, pattern), f"rest {rest}, ids array<int>, decoded binary")

@@ -14,6 +14,7 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 2**64)
 NO_ID = 2**63 - 1
+BATCH_ROWS = 1000
 
 
 def ship(module_name: str) -> None:
@@ -30,7 +31,14 @@ def text_size(docs: DataFrame, column: str = "text") -> tuple[int, int]:
     return row["n"], row["b"] or 0
 
 
-def parts_for(spark, n_bytes: int, per_part: int = 24 << 20) -> int:
+def small_batches(spark) -> None:
+    """Let tasks hand texts to Python in batches of about a thousand rows, to bound a worker's memory."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows, "10000")) > BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+
+def parts_for(spark, n_bytes: int, per_part: int = 12 << 20) -> int:
     """Partitions for so many bytes: the session's number or more, so that each stays small."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // per_part), 1)
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import U64, Powers, as_bytes, group_starts, mix, parts_for, prefix_hash, ship, text_size
+from deliverylens.llm.common import U64, Powers, as_bytes, group_starts, mix, parts_for, prefix_hash, ship, small_batches, text_size
 
 ship(__name__)
 
@@ -37,7 +37,7 @@ VOCABULARY = 1 << 15
 HOT = 1 << 12
 ADD = 0.1
 SAMPLE_BYTES = 32 << 20
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -247,6 +247,7 @@ def score(docs: DataFrame, target: Column, id_column: str = "doc_id", text_colum
     """(id, tokens, target_bits, background_bits, score) per document; bits are means over the tokens."""
     spark = docs.sparkSession
     sc = spark.sparkContext
+    small_batches(spark)
     _, total = text_size(docs, text_column)
     n_parts = parts_for(spark, total)
     keyed = docs.select(F.col(id_column).alias("id"), F.xxhash64(id_column, text_column).alias("key"), as_bytes(text_column).alias("bytes"), F.coalesce(target, F.lit(False)).alias("target"))

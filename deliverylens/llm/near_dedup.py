@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.llm import common
-from deliverylens.llm.common import NO_ID, U64, Powers, as_bytes, mix, order_key, prefix_hash, ship
+from deliverylens.llm.common import NO_ID, U64, Powers, as_bytes, mix, order_key, prefix_hash, ship, small_batches
 from deliverylens.llm.components import components
 from deliverylens.session import run_dir
 
@@ -178,6 +178,7 @@ def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     ``ord`` is the id or the largest number, ``th`` a hash of the text.
     """
+    small_batches(docs.sparkSession)
     keyed = docs.select(order_key(id_column).alias("ord"), F.hash(text_column).alias("th"), as_bytes(text_column).alias("bytes"))
     nodes = written(keyed.mapInArrow(as_nodes, NODE_SCHEMA), "nodes")
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.llm import common
-from deliverylens.llm.common import U64, Powers, as_bytes, group_starts, mix, prefix_hash, ship
+from deliverylens.llm.common import U64, Powers, as_bytes, group_starts, mix, prefix_hash, ship, small_batches
 
 ship(__name__)
 
@@ -159,6 +159,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
 
 
 def keyed(docs: DataFrame, id_column: str, text_column: str, size_column: str | None) -> DataFrame:
+    small_batches(docs.sparkSession)
     size = F.col(size_column).cast("long") if size_column and size_column in docs.columns else F.lit(None).cast("long")
     return docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), F.col(id_column).alias("ord"), as_bytes(text_column).alias("bytes"), size.alias("size"))
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.llm import common
-from deliverylens.llm.common import U64, Powers, as_bytes, mix, prefix_hash, ship
+from deliverylens.llm.common import U64, Powers, as_bytes, mix, prefix_hash, ship, small_batches
 from deliverylens.session import run_dir
 
 ship(__name__)
@@ -82,6 +82,7 @@ def counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Other columns in the struct ``rest``, and the counts of each text."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), as_bytes(text_column).alias("bytes"))
     schema = ", ".join(f"{c} long" for c in COUNTS)
     return rows.mapInArrow(counter, f"rest {rows.schema['rest'].dataType.simpleString()}, {schema}")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import as_bytes, parts_for, ship, text_size
+from deliverylens.llm.common import as_bytes, parts_for, ship, small_batches, text_size
 from deliverylens.session import run_dir
 
 ship(__name__)
@@ -142,6 +142,7 @@ def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def edit_chain(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Other columns of the documents in ``rest``, fingerprints of each text and of its edited text, and likenesses."""
     spark = docs.sparkSession
+    small_batches(spark)
     _, total = text_size(docs, text_column)
     rows = docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), F.col(id_column).cast("long").alias("ord"), as_bytes(text_column).alias("bytes"))
     order = F.col("ord").desc_nulls_last()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.llm import common
-from deliverylens.llm.common import NO_ID, U64, Powers, as_bytes, group_starts, mix, order_key, parts_for, prefix_hash, ship, text_size
+from deliverylens.llm.common import NO_ID, U64, Powers, as_bytes, group_starts, mix, order_key, parts_for, prefix_hash, ship, small_batches, text_size
 from deliverylens.session import run_dir
 
 ship(__name__)
@@ -45,7 +45,7 @@ ship(__name__)
 LENGTH = 50
 GRAM = 16
 LEFT = LENGTH - GRAM  # the anchor starts 0 to LEFT bytes after the window
-FLUSH = 4_000_000  # anchors a task gathers before it sends them
+FLUSH = 1_000_000  # anchors a task gathers before it sends them
 SAMPLE_BYTES = 32 << 20  # text from which splitters are drawn
 SENT = 6  # low bytes of a hash that are sent; a wrong hit only adds a suffix to compare
 SEGMENT = 1 << 15  # up to here a stretch is sorted by all words at once
@@ -298,7 +298,7 @@ def suffix_rows(splitters: list[bytes] | None):
                 windows = ((U64(2) << high) - U64(1)) & ~((U64(1) << low) - U64(1))
                 rows.append((right, left, np.full(n, key, np.int64), np.full(n, th, np.int32), place.astype(np.int32), windows))
                 held += n
-            if held > FLUSH // 16:
+            if held > FLUSH // 8:
                 yield from emit(rows)
                 rows, held = [], 0
         if held:
@@ -443,6 +443,7 @@ def mark_repeats(keyed: DataFrame, spark: SparkSession, n_parts: int, total: int
 def find_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: all its columns in the struct ``rest``, n_bytes, n_removed, n_spans, spans (first, end) and the kept bytes."""
     spark = docs.sparkSession
+    small_batches(spark)
     _, total = text_size(docs, text_column)
     n_parts = parts_for(spark, total)
     others = [c for c in docs.columns if c != text_column]

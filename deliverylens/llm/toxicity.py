@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import as_bytes, ship
+from deliverylens.llm.common import as_bytes, ship, small_batches
 
 ship(__name__)
 
@@ -38,7 +38,7 @@ MAX_LABELLED = 6000
 SEGMENT_BYTES = 3000  # of the strings that one class favours
 COMMON_BYTES = 8192
 LEAST_Z, LEAST_DOCS = 4.0, 3
-KNOWN_WORDS = 1_000_000  # gains a task remembers before it starts anew
+KNOWN_WORDS = 300_000  # gains a task remembers before it starts anew
 
 #: A word is a run of letters, digits and bytes beyond ASCII.
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -165,6 +165,7 @@ class ToxicModel:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, max_labelled: int = MAX_LABELLED, id_column: str = "doc_id", text_column: str = "text") -> ToxicModel:
     known = labels.where(F.col(label).isin(0, 1) & (learn if learn is not None else F.lit(True))).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label"))
+    small_batches(docs.sparkSession)
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     picked = [known.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(max_labelled) for k in (0, 1)]
     # At most two bounded samples of ids are sent to all tasks.
@@ -195,6 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Colum
 
 def score(docs: DataFrame, model: ToxicModel, text_column: str = "text") -> DataFrame:
     """Other columns of the documents in the struct ``rest``, and the score."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), as_bytes(text_column).alias("bytes"))
     rest = rows.schema["rest"].dataType.simpleString()
     return rows.mapInArrow(featured(model.toxic, model.ordinary, ["rest"], model.weights), f"rest {rest}, score double")
