@@ -36,8 +36,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+BIT = [1 << i for i in range(64)]
+
+
 class RankQueue:
-    """Positions by rank, smallest rank and leftmost position first; holds ranks under 2**18."""
+    """Buckets of positions by rank, and three levels of 64-bit words that mark those in use; holds ranks under 2**18."""
 
     def __init__(self) -> None:
         self.top, self.middle, self.low = 0, [0] * 64, [0] * 4096
@@ -49,58 +52,69 @@ class RankQueue:
             heapq.heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.middle[rank >> 12] |= 1 << ((rank >> 6) & 63)
-        self.top |= 1 << (rank >> 12)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        a = (self.top & -self.top).bit_length() - 1
-        b = (a << 6) | ((self.middle[a] & -self.middle[a]).bit_length() - 1)
-        rank = (b << 6) | ((self.low[b] & -self.low[b]).bit_length() - 1)
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[b] &= ~(1 << (rank & 63))
-            if not self.low[b]:
-                self.middle[a] &= ~(1 << (b & 63))
-                if not self.middle[a]:
-                    self.top &= ~(1 << a)
-        return rank, position
+        word, part = rank >> 6, rank >> 12
+        self.low[word] |= BIT[rank & 63]
+        self.middle[part] |= BIT[word & 63]
+        self.top |= BIT[part]
+
+    def take(self) -> tuple[int, list[int]]:
+        """The smallest rank in use and its bucket, a heap, which leaves the queue."""
+        top = self.top
+        part = (top & -top).bit_length() - 1
+        middle = self.middle[part]
+        word = (part << 6) | ((middle & -middle).bit_length() - 1)
+        low = self.low[word]
+        bit = low & -low
+        rank = (word << 6) | (bit.bit_length() - 1)
+        self.low[word] = low = low ^ bit
+        if not low:
+            self.middle[part] = middle = middle & (middle - 1)
+            if not middle:
+                self.top = top & (top - 1)
+        return rank, self.buckets.pop(rank)
 
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     """Ids of one piece."""
-    whole = ranks.get(piece)
+    rank_of = ranks.get
+    whole = rank_of(piece)
     if whole is not None:
         return [whole]
-    n = len(piece)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    pair = [-1] * n  # rank of the token at a position with the one that follows; -1 if none
-
-    def look(at: int) -> None:
-        follows = after[at]
-        rank = ranks.get(piece[at : after[follows]]) if follows < n else None
-        pair[at] = -1 if rank is None else rank
+    n, push, take = len(piece), queue.push, queue.take
+    after, before = list(range(1, n + 2)), list(range(-1, n))
+    # Rank of the token at a position with the one that follows; None if they are no token.
+    pair = [rank_of(piece[i : i + 2]) for i in range(n - 1)] + [None]
+    for at, rank in enumerate(pair):
         if rank is not None:
-            queue.push(rank, at)
-
-    for i in range(n - 1):
-        look(i)
-    while (entry := queue.pop()) is not None:
-        rank, at = entry
-        if pair[at] != rank:
-            continue  # the token here has changed or is gone
-        gone = after[at]
-        after[at] = after[gone]
-        pair[gone] = -1
-        if after[at] < n:
-            before[after[at]] = at
-        look(at)
-        if before[at] >= 0:
-            look(before[at])
+            push(rank, at)
+    while queue.top:
+        rank, bucket = take()
+        while bucket:
+            at = heapq.heappop(bucket) if len(bucket) > 1 else bucket.pop()
+            if pair[at] != rank:
+                continue  # stale: the token here has changed or is gone
+            gone = after[at]
+            after[at] = follows = after[gone]
+            pair[gone] = None
+            least = rank
+            if follows < n:
+                before[follows] = at
+                new = pair[at] = rank_of(piece[at : after[follows]])
+                if new is not None:
+                    push(new, at)
+                    least = min(least, new)
+            else:
+                pair[at] = None
+            prior = before[at]
+            if prior >= 0:
+                new = pair[prior] = rank_of(piece[prior:follows])
+                if new is not None:
+                    push(new, prior)
+                    least = min(least, new)
+            if least < rank:  # a smaller rank came up: the rest of this bucket waits
+                for position in bucket:
+                    push(rank, position)
+                break
     out, at = [], 0
     while at < n:
         out.append(ranks[piece[at : after[at]]])
