@@ -33,6 +33,7 @@ ship(__name__)
 BITS = 18
 FACTORS = 8
 EPOCHS = 6
+LEAST_STEPS = 600  # few labelled rows are gone over more often
 MAX_LABELLED = 8000
 
 _SPACE = np.zeros(256, bool)
@@ -134,8 +135,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
         fm.v[:] = 0
         return fm
     gw, gv, g0 = np.full(WIDTH, 1e-3, np.float32), np.full((WIDTH, FACTORS), 1e-3, np.float32), 1e-3
-    for _ in range(epochs):
-        for part in np.array_split(draw.permutation(len(rows)), max(1, len(rows) // 64)):
+    batches = max(1, len(rows) // 64)
+    for _ in range(max(epochs, -(-LEAST_STEPS // batches))):
+        for part in np.array_split(draw.permutation(len(rows)), batches):
             place = np.concatenate([rows[i][0] for i in part])
             value = np.concatenate([rows[i][1] for i in part])
             size = np.array([len(rows[i][0]) for i in part])
