@@ -54,7 +54,7 @@ def check_probabilities(df: DataFrame, probabilities: str, classes: Sequence[int
 def apply_threshold(probability: Column, threshold: float) -> Column:
     """1 when the probability reaches the threshold, else 0."""
     if not is_threshold(threshold):
-        raise ScoringError("classification threshold must be a number between 0 and 1")
+        raise ScoringError(f"no threshold from 0 to 1: {threshold!r}")
     return (probability >= F.lit(float(threshold))).cast("int")
 
 
