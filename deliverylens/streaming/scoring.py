@@ -24,6 +24,11 @@ def scored_stream(orders: DataFrame, bundle: Bundle) -> DataFrame:
     return with_version(score_rows(valid, bundle), bundle)
 
 
+def rejected_stream(orders: DataFrame) -> DataFrame:
+    """The other records, each with the reasons for which it is not scored."""
+    return check_contract(orders)[1]
+
+
 def start_scoring(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (
         scored.writeStream.outputMode("append")
