@@ -14,7 +14,6 @@ Defined cases: null and empty texts have no ids and decode to no bytes.
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,6 +28,9 @@ from deliverylens.llm.common import ship, small_batches
 ship(__name__)
 
 KNOWN_PIECES = 300_000  # pieces a task remembers before it starts anew
+LONG_PIECE = 1000  # characters from which a piece is not remembered
+PART_ROWS, PART_CHARS = 1000, 2 << 20
+POOL = 2000  # pieces that share one list
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,19 +48,23 @@ class RankQueue:
         self.top, self.middle, self.low = 0, [0] * 64, [0] * 4096
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
+    def open(self, rank: int, positions: list[int]) -> None:
+        """A bucket for a rank that has none."""
+        self.buckets[rank] = positions
         word, part = rank >> 6, rank >> 12
         self.low[word] |= BIT[rank & 63]
         self.middle[part] |= BIT[word & 63]
         self.top |= BIT[part]
 
+    def push(self, rank: int, position: int) -> None:
+        bucket = self.buckets.get(rank)
+        if bucket is None:
+            self.open(rank, [position])
+        else:
+            bucket.append(position)
+
     def take(self) -> tuple[int, list[int]]:
-        """The smallest rank in use and its bucket, a heap, which leaves the queue."""
+        """The smallest rank in use and its bucket, from left to right, which leaves the queue."""
         top = self.top
         part = (top & -top).bit_length() - 1
         middle = self.middle[part]
@@ -71,89 +77,122 @@ class RankQueue:
             self.middle[part] = middle = middle & (middle - 1)
             if not middle:
                 self.top = top & (top - 1)
-        return rank, self.buckets.pop(rank)
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one piece."""
-    rank_of = ranks.get
-    whole = rank_of(piece)
-    if whole is not None:
-        return [whole]
-    n, push, take = len(piece), queue.push, queue.take
-    after, before = list(range(1, n + 2)), list(range(-1, n))
-    # Rank of the token at a position with the one that follows; None if they are no token.
-    pair = [rank_of(piece[i : i + 2]) for i in range(n - 1)] + [None]
-    for at, rank in enumerate(pair):
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
+
+
+def rank_table(ranks: dict[bytes, int]) -> np.ndarray:
+    """Ranks of all tokens of two bytes, by 256 * first + second; -1 where there is none."""
+    table = np.full(1 << 16, -1, np.int32)
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            table[token[0] << 8 | token[1]] = rank
+    return table
+
+
+def merge(pieces: list[bytes], ranks: dict[bytes, int], table: np.ndarray, queue: RankQueue) -> list[tuple[int, ...]]:
+    """Ids of each piece; all of them, none empty, share one linked list and one queue."""
+    data, rank_of = b"".join(pieces), ranks.get
+    n, size = len(data), np.array([len(p) for p in pieces])
+    ends = np.cumsum(size)
+    start = np.zeros(n + 1, np.uint8)  # a piece begins here, and nothing is merged across
+    start[ends - size] = start[n] = 1
+    code = np.frombuffer(data, np.uint8).astype(np.int32)
+    # Rank of the token at a position with the one that follows; -1 if they are no token.
+    pairs = np.append(table[code[:-1] << 8 | code[1:]], np.int32(-1))
+    pairs[ends - 1] = -1
+    whole = [rank_of(p) for p in pieces]
+    for k, (rank, end) in enumerate(zip(whole, ends)):
         if rank is not None:
-            push(rank, at)
+            pairs[end - size[k] : end] = -1
+    used = np.flatnonzero(pairs >= 0)
+    used = used[np.argsort(pairs[used], kind="stable")]
+    own, low = np.unique(pairs[used], return_index=True)
+    for rank, positions in zip(own.tolist(), np.split(used, low[1:])):
+        queue.open(rank, positions.tolist())
+    pair, start, push, take = pairs.tolist(), start.tobytes(), queue.push, queue.take
+    after, before = list(range(1, n + 2)), list(range(-1, n))
     while queue.top:
         rank, bucket = take()
-        while bucket:
-            at = heapq.heappop(bucket) if len(bucket) > 1 else bucket.pop()
+        for k, at in enumerate(bucket):
             if pair[at] != rank:
                 continue  # stale: the token here has changed or is gone
             gone = after[at]
             after[at] = follows = after[gone]
-            pair[gone] = None
+            pair[gone] = -1
             least = rank
-            if follows < n:
+            if start[follows]:
+                pair[at] = -1
+            else:
                 before[follows] = at
-                new = pair[at] = rank_of(piece[at : after[follows]])
-                if new is not None:
+                pair[at] = new = rank_of(data[at : after[follows]], -1)
+                if new >= 0:
                     push(new, at)
-                    least = min(least, new)
-            else:
-                pair[at] = None
-            prior = before[at]
-            if prior >= 0:
-                new = pair[prior] = rank_of(piece[prior:follows])
-                if new is not None:
+                    if new < least:
+                        least = new
+            if not start[at]:
+                prior = before[at]
+                pair[prior] = new = rank_of(data[prior:follows], -1)
+                if new >= 0:
                     push(new, prior)
-                    least = min(least, new)
+                    if new < least:
+                        least = new
             if least < rank:  # a smaller rank came up: the rest of this bucket waits
-                for position in bucket:
+                for position in bucket[k + 1 :]:
                     push(rank, position)
                 break
     out, at = [], 0
-    while at < n:
-        out.append(ranks[piece[at : after[at]]])
-        at = after[at]
+    for rank, end in zip(whole, ends.tolist()):
+        ids = [] if rank is None else [rank]
+        if rank is None:
+            while at < end:
+                follows = after[at]
+                ids.append(ranks[data[at:follows]])
+                at = follows
+        at = end
+        out.append(tuple(ids))  # the collector soon leaves tuples of numbers alone
     return out
 
 
-class Pieces(dict):
-    """Ids of the pieces seen."""
-
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        super().__init__()
-        self.ranks, self.queue = ranks, RankQueue()
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = merge(piece.encode(), self.ranks, self.queue)
-        if len(self) >= KNOWN_PIECES:
-            self.clear()
-        if len(piece) < 1000:
-            self[piece] = ids
-        return ids
+def stretches(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Runs of texts whose new pieces are merged together: at most PART_ROWS, and PART_CHARS unless one text is longer."""
+    low = total = 0
+    for i, text in enumerate(texts):
+        if i > low and (i - low >= PART_ROWS or total + len(text) > PART_CHARS):
+            yield low, i
+            low, total = i, 0
+        total += len(text)
+    if low < len(texts):
+        yield low, len(texts)
 
 
 def tokenizer(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(path)
         tokens = {rank: token for token, rank in ranks.items()}
-        pieces, split = Pieces(ranks), regex.compile(pattern)
+        table, queue, split = rank_table(ranks), RankQueue(), regex.compile(pattern)
+        known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for low, high in stretches(texts):
+                found = [split.findall(text) for text in texts[low:high]]
+                if len(known) >= KNOWN_PIECES:
+                    known.clear()
+                fresh = list(set(chain.from_iterable(found)).difference(known, [""]))
+                for k in range(0, len(fresh), POOL):
+                    pool = fresh[k : k + POOL]
+                    known.update(zip(pool, merge([p.encode() for p in pool], ranks, table, queue)))
                 ids, decoded = [], []
-                for text in part.column("text").to_pylist():
-                    own = list(chain.from_iterable(map(pieces.__getitem__, split.findall(text or ""))))
+                for pieces in found:
+                    own = list(chain.from_iterable(map(known.__getitem__, pieces)))
                     ids.append(np.array(own, np.int32))
                     decoded.append(b"".join(map(tokens.__getitem__, own)))
+                for piece in fresh:
+                    if len(piece) > LONG_PIECE:
+                        del known[piece]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.record_batch({"rest": part.column("rest"), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "decoded": pa.array(decoded, pa.binary())})
+                yield pa.record_batch({"rest": batch.column("rest").slice(low, high - low), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))), "decoded": pa.array(decoded, pa.binary())})
 
     return run
 

@@ -190,9 +190,9 @@ def test_rank_queue_merges_long_pieces(alphabet):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     draw, queue = random.Random(alphabet), byte_bpe.RankQueue()
-    for n in (1, 2, 7, 40, 5000):
-        text = "".join(draw.choices(alphabet, k=n))
-        assert byte_bpe.merge(text.encode(), ranks, queue) == library.encode_ordinary(text)
+    texts = ["".join(draw.choices(alphabet, k=n)) for n in (1, 2, 7, 40, 5000, 3, 40)]
+    got = byte_bpe.merge([text.encode() for text in texts], ranks, byte_bpe.rank_table(ranks), queue)
+    assert [list(ids) for ids in got] == [library.encode_ordinary(text) for text in texts]
     assert queue.top == 0 and not queue.buckets
 
 
