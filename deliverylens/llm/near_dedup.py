@@ -9,9 +9,13 @@
 3. Signatures of candidates are compared batch by batch. A pair is dropped as
    soon as its posterior probability to reach the threshold (uniform prior) is
    below ``MISS``; survivors are confirmed on the full sets.
-4. Links join components. Buckets that then hold several components bring
-   forward all their pairs across components, so that no link is lost; these go
-   through the same two checks.
+4. Links join components. In buckets that then hold several components, a node
+   stays only if the shingles it shares with other components are enough for a
+   link to any size that occurs beside it; that bound is exact and takes one
+   pass over the shingles. The nodes that stay are compared across components in
+   blocks, on signatures of 512 minima, so that no link is lost, no pair is a
+   row before it has survived, and a task holds two blocks however large the
+   bucket is. Survivors are confirmed on the full sets.
 
 Defined cases: a null or wordless text has an empty set and links with nothing;
 texts of fewer than five words are one shingle; a null id counts as the
@@ -40,11 +44,14 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100  # links: DENOMINATOR * intersection >= NUMERATOR * union
 HASHES, ROWS = 128, 4
 BANDS = HASHES // ROWS
-BATCH = 16  # minima compared before each look at the posterior
+LOOKS = range(16, HASHES + 1, 16)  # minima compared at each look at the posterior
+LONG = 512  # minima of a signature within mixed buckets
+LONG_LOOKS = (16, 32, 64, 128, 256, LONG)
 MISS = 1e-4  # probability at which a candidate is given up
+BLOCK = 1000  # nodes of a bucket that are compared with as many others in one task
 
 _draw = np.random.default_rng(20)
-_A, _B = ((_draw.integers(0, 2**32, (HASHES, 1), np.uint64) | U64(1)).astype(np.uint32) for _ in range(2))
+_A, _B = ((_draw.integers(0, 2**32, (LONG, 1), np.uint64) | U64(1)).astype(np.uint32) for _ in range(2))
 _K = _draw.integers(0, 2**64, SHINGLE, np.uint64) | U64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -67,12 +74,12 @@ def shingles(text: bytes, powers: Powers) -> np.ndarray:
     return np.unique(mix(s))
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """The minima of a set under each hash function, folded to 16 bits."""
+def signature(s: np.ndarray, count: int = HASHES) -> np.ndarray:
+    """The minima of a set under the first hash functions, folded to 16 bits."""
     high, low = (s >> U64(32)).astype(np.uint32), s.astype(np.uint32)
-    least = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+    least = np.full(count, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(s), 2048):
-        least = np.minimum(least, (high[i : i + 2048] * _A + low[i : i + 2048] * _B).min(axis=1))
+        least = np.minimum(least, (high[i : i + 2048] * _A[:count] + low[i : i + 2048] * _B[:count]).min(axis=1))
     return (mix(least.astype(U64)) >> U64(48)).astype(np.uint16)
 
 
@@ -99,33 +106,76 @@ def as_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def least_matches() -> list[int]:
-    """For each number of compared minima, the matches below which a pair is given up.
+def least_matches(looks) -> list[tuple[int, int, int]]:
+    """(minima compared before, now, matches below which a pair is given up) for each look.
 
     With a uniform prior the posterior of the similarity is a beta distribution;
     its tail above the threshold is a binomial sum.
     """
-    t, out = NUMERATOR / DENOMINATOR, []
-    for n in range(BATCH, HASHES + 1, BATCH):
-        tail = [sum(math.comb(n + 1, j) * t**j * (1 - t) ** (n + 1 - j) for j in range(m + 1)) for m in range(n + 1)]
-        out.append(next(m for m in range(n + 1) if tail[m] >= MISS))
+    t, out, before = NUMERATOR / DENOMINATOR, [], 0
+    for n in looks:
+        tail, m = (1 - t) ** (n + 1), 0
+        while tail < MISS:
+            m += 1
+            tail += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
+        out.append((before, n, m))
+        before = n
     return out
 
 
 def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that no batch of minima rules out, with their share of equal minima."""
-    bounds = least_matches()
+    looks = least_matches(LOOKS)
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
         alive, matches = np.arange(len(a)), np.zeros(len(a), np.int64)
-        for k, bound in enumerate(bounds):
-            part = slice(k * BATCH, (k + 1) * BATCH)
-            matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
+        for low, high, bound in looks:
+            matches[alive] += (a[alive, low:high] == b[alive, low:high]).sum(axis=1)
             alive = alive[matches[alive] >= bound]
         kept = batch.select(["a", "b"]).take(pa.array(alive))
         yield pa.record_batch({"a": kept.column("a"), "b": kept.column("b"), "share": pa.array(matches[alive] / HASHES)})
 
 
+def details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signatures of many minima, and the shingles themselves."""
+    powers = Powers()
+    for batch in batches:
+        sets = [shingles(text, powers) for text in batch.column("bytes").to_pylist()]
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        flat = pa.array(np.concatenate([*sets, np.zeros(0, U64)]).view(np.int64))
+        yield pa.record_batch({"node": batch.column("node"), "sig": pa.array([signature(s, LONG).tobytes() for s in sets], pa.binary()), "s": pa.ListArray.from_arrays(pa.array(ends), flat)})
+
+
+def block_pairs(block: pa.Table) -> pa.Table:
+    """Pairs across components that survive, of one pair of blocks of a bucket.
+
+    A pair belongs to the first band it shares, hence comes from one bucket alone.
+    """
+    node, label, n, f, minor, asks = (block.column(c).to_numpy() for c in ("node", "label", "n", "f", "minor", "asks"))
+    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint16).reshape(-1, LONG)
+    band = block.column("at")[0].as_py()
+    left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+    looks, found = least_matches(LONG_LOOKS), []
+    for low in range(0, len(left), 64):
+        x, y = left[low : low + 64, None], right[None]
+        across = (label[x] != label[y]) & (~minor[y] | (node[x] < node[y]))  # two minor nodes meet twice
+        a, b = np.nonzero(across & (DENOMINATOR * np.minimum(f[x], f[y]) >= NUMERATOR * (n[x] + n[y] - np.minimum(f[x], f[y]))))
+        a, b = left[low + a], right[b]
+        matches = np.zeros(len(a), np.int64)
+        for start, end, bound in looks:
+            keep = np.zeros(len(a), bool)
+            for k in range(0, len(a), 8192):
+                part = slice(k, k + 8192)
+                matches[part] += (sig[a[part], start:end] == sig[b[part], start:end]).sum(axis=1)
+                keep[part] = matches[part] >= bound
+            a, b, matches = a[keep], b[keep], matches[keep]
+        same = (sig[a, :HASHES] == sig[b, :HASHES]).reshape(-1, BANDS, ROWS).all(axis=2)
+        own = same.argmax(axis=1) == band
+        found.append((node[a[own]], node[b[own]]))
+    none = np.zeros(0, np.int64)
+    return pa.table({"a": np.concatenate([none, *(a for a, _ in found)]), "b": np.concatenate([none, *(b for _, b in found)])})
+
+
 def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets reach the threshold."""
     powers = Powers()
@@ -173,6 +223,44 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).drop("label_a", "label_b")
 
 
+def mixed(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    several = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
+    return placed.join(several, "band")
+
+
+def across_components(members: DataFrame, labels: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b) of the pairs in one bucket but in two components that may be linked."""
+    placed = members.select("band", "at", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = written(mixed(placed).join(one.select("node", "n"), "node"), "mixed")
+
+    # A link's shingles lie in both components, so a node needs enough that do.
+    nodes = placed.groupBy("node").agg(F.min("label").alias("label"), F.min("n").alias("n"))
+    full = written(texts.join(nodes.select("node"), "node").mapInArrow(details, "node long, sig binary, s array<long>"), "details")
+    each = full.select("node", F.explode("s").alias("h")).join(nodes.select("node", "label"), "node")
+    both = each.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("h")
+    shared = each.join(both, "h").groupBy("node").agg(F.count(F.lit(1)).alias("f"))
+    # The least size beside a node, in any of its buckets, that a link allows.
+    beside = placed.groupBy("band").agg(F.min("n").alias("low"))
+    low = placed.join(beside, "band").groupBy("node").agg(F.min("low").alias("low"))
+    able = nodes.join(shared, "node").join(low, "node")
+    other = F.greatest(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR), F.col("low"))
+    able = able.where(F.col("f") * (DENOMINATOR + NUMERATOR) >= NUMERATOR * (F.col("n") + other)).select("node", "f")
+    left = written(mixed(placed.join(able, "node")), "able")
+
+    # Nodes outside the largest component of a bucket (minor) meet all of the bucket, in blocks by a hash of the node.
+    sizes = left.groupBy("band", "label").count().groupBy("band")
+    sizes = sizes.agg(F.max_by("label", F.struct("count", "label")).alias("major"), F.sum("count").alias("all"), F.max("count").alias("top"))
+    rows = left.join(sizes, "band").withColumn("minor", F.col("label") != F.col("major"))
+    asking, asked = (F.ceil(size / BLOCK) for size in (F.col("all") - F.col("top"), F.col("all")))
+    block, blocks = lambda c: F.pmod(F.xxhash64("node"), c), lambda c: F.explode(F.sequence(F.lit(0).cast("long"), c - 1))
+    use = ("band", "at", "node", "label", "n", "f", "minor")
+    queries = rows.where("minor").select(*use, F.lit(True).alias("asks"), block(asking).alias("i"), asked.alias("c")).select("*", blocks(F.col("c")).alias("j"))
+    others = rows.select(*use, F.lit(False).alias("asks"), block(asked).alias("j"), asking.alias("c")).select("*", blocks(F.col("c")).alias("i"))
+    pairs_of_blocks = queries.drop("c").unionByName(others.drop("c")).join(full.select("node", "sig"), "node").groupBy("band", "i", "j")
+    return pairs_of_blocks.applyInArrow(block_pairs, "a long, b long")
+
+
 def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(ord, th, n, least): for each distinct id and text its set size and the least id of its group.
 
@@ -185,7 +273,7 @@ def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     # Buckets of more than one node, each with its leader.
     one = nodes.where("node is not null").select("node", "n", "sig").dropDuplicates(["node"])
     keys = F.array(*(F.xxhash64(F.lit(i), F.substring("sig", 1 + 2 * ROWS * i, 2 * ROWS)) for i in range(BANDS)))
-    bands = one.select("node", F.explode(keys).alias("band"))
+    bands = one.select("node", F.posexplode(keys).alias("at", "band"))
     # The leader of a bucket is its node with the least hash together with the band.
     turn = F.xxhash64("node", "band")
     leaders = bands.groupBy("band").agg(F.min(F.struct(turn.alias("t"), "node")).alias("first"), F.count(F.lit(1)).alias("size"))
@@ -207,14 +295,7 @@ def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     links2 = written(do_link(apart(likely.join(best, ["a", "b"], "left_anti"), labels), texts), "links")
     labels = components(links.union(links2))
 
-    # Buckets that still hold several components: all pairs across these.
-    in_bucket = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed = in_bucket.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
-    rest = in_bucket.join(mixed, "band")
-    other = rest.select("band", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    across = rest.withColumnRenamed("node", "a").join(other, "band").where("a < b and label <> label_b").select("a", "b").distinct()
-    tried = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    late = written(could_link(across.join(tried, ["a", "b"], "left_anti"), signatures), "likely")
+    late = written(across_components(members, labels, one, texts), "likely")
     links3 = written(do_link(late, texts), "links")
     if not links3.isEmpty():
         labels = components(links.union(links2).union(links3))

@@ -139,9 +139,24 @@ def test_near_dedup_finds_the_groups_of_brute_force(docs, rows, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_of_a_group_around_the_threshold(spark, monkeypatch):
+    """Hundreds of edits of one text, many of them linked with few others or none, in several blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 40)
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for k in draw.sample(range(150), draw.choice((1, 3, 5, 7, 9, 11))):
+            words[k] = f"x{draw.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert as_sorted(map(tuple, near_dedup.near_duplicates(docs).collect())) == as_sorted(brute_groups(rows))
+
+
 def test_least_matches_follow_the_posterior():
-    bounds = near_dedup.least_matches()
-    assert len(bounds) == near_dedup.HASHES // near_dedup.BATCH and bounds == sorted(bounds)
+    bounds = [bound for _, _, bound in near_dedup.least_matches(near_dedup.LOOKS)]
+    assert len(bounds) == near_dedup.HASHES // 16 and bounds == sorted(bounds)
     # The bound leaves a pair at the threshold out with a small probability only.
     n, t = near_dedup.HASHES, near_dedup.NUMERATOR / near_dedup.DENOMINATOR
     missed = sum(math.comb(n, j) * t**j * (1 - t) ** (n - j) for j in range(bounds[-1]))
