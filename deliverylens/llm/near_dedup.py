@@ -13,9 +13,10 @@
    stays only if the shingles it shares with other components are enough for a
    link to any size that occurs beside it; that bound is exact and takes one
    pass over the shingles. The nodes that stay are compared across components in
-   blocks, on signatures of 512 minima, so that no link is lost, no pair is a
-   row before it has survived, and a task holds two blocks however large the
-   bucket is. Survivors are confirmed on the full sets.
+   blocks: on their signatures first, then survivors on their full sets, which
+   the block holds. So no pair is ever a row unless it is a link, one link stands
+   for all between a node and a component, and a task holds two blocks, bounded
+   in nodes and in shingles, however large the bucket is.
 
 Defined cases: a null or wordless text has an empty set and links with nothing;
 texts of fewer than five words are one shingle; a null id counts as the
@@ -45,13 +46,12 @@ NUMERATOR, DENOMINATOR = 75, 100  # links: DENOMINATOR * intersection >= NUMERAT
 HASHES, ROWS = 128, 4
 BANDS = HASHES // ROWS
 LOOKS = range(16, HASHES + 1, 16)  # minima compared at each look at the posterior
-LONG = 512  # minima of a signature within mixed buckets
-LONG_LOOKS = (16, 32, 64, 128, 256, LONG)
 MISS = 1e-4  # probability at which a candidate is given up
 BLOCK = 1000  # nodes of a bucket that are compared with as many others in one task
+BLOCK_SHINGLES = 1_000_000  # their shingles, about; a block may still be one long text
 
 _draw = np.random.default_rng(20)
-_A, _B = ((_draw.integers(0, 2**32, (LONG, 1), np.uint64) | U64(1)).astype(np.uint32) for _ in range(2))
+_A, _B = ((_draw.integers(0, 2**32, (HASHES, 1), np.uint64) | U64(1)).astype(np.uint32) for _ in range(2))
 _K = _draw.integers(0, 2**64, SHINGLE, np.uint64) | U64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -74,12 +74,12 @@ def shingles(text: bytes, powers: Powers) -> np.ndarray:
     return np.unique(mix(s))
 
 
-def signature(s: np.ndarray, count: int = HASHES) -> np.ndarray:
-    """The minima of a set under the first hash functions, folded to 16 bits."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """The minima of a set, folded to 16 bits."""
     high, low = (s >> U64(32)).astype(np.uint32), s.astype(np.uint32)
-    least = np.full(count, 0xFFFFFFFF, np.uint32)
+    least = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(s), 2048):
-        least = np.minimum(least, (high[i : i + 2048] * _A[:count] + low[i : i + 2048] * _B[:count]).min(axis=1))
+        least = np.minimum(least, (high[i : i + 2048] * _A + low[i : i + 2048] * _B).min(axis=1))
     return (mix(least.astype(U64)) >> U64(48)).astype(np.uint16)
 
 
@@ -137,25 +137,35 @@ def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signatures of many minima, and the shingles themselves."""
+    """The shingles of each node."""
     powers = Powers()
     for batch in batches:
         sets = [shingles(text, powers) for text in batch.column("bytes").to_pylist()]
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         flat = pa.array(np.concatenate([*sets, np.zeros(0, U64)]).view(np.int64))
-        yield pa.record_batch({"node": batch.column("node"), "sig": pa.array([signature(s, LONG).tobytes() for s in sets], pa.binary()), "s": pa.ListArray.from_arrays(pa.array(ends), flat)})
+        yield pa.record_batch({"node": batch.column("node"), "s": pa.ListArray.from_arrays(pa.array(ends), flat)})
 
 
-def block_pairs(block: pa.Table) -> pa.Table:
-    """Pairs across components that survive, of one pair of blocks of a bucket.
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets without repeats reach the threshold."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return DENOMINATOR * both >= NUMERATOR * (len(a) + len(b) - both)
 
-    A pair belongs to the first band it shares, hence comes from one bucket alone.
+
+def block_links(block: pa.Table) -> pa.Table:
+    """Confirmed links across components, of one pair of blocks of a bucket.
+
+    A pair belongs to the first band it shares, hence comes from one bucket
+    alone. Of a node's pairs with one component the likeliest are tried first,
+    until one is a link.
     """
     node, label, n, f, minor, asks = (block.column(c).to_numpy() for c in ("node", "label", "n", "f", "minor", "asks"))
-    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint16).reshape(-1, LONG)
+    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
+    sets = block.column("s").combine_chunks()
+    values, ends = sets.values.to_numpy(), sets.offsets.to_numpy()
     band = block.column("at")[0].as_py()
     left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
-    looks, found = least_matches(LONG_LOOKS), []
+    looks, found = least_matches(LOOKS), []
     for low in range(0, len(left), 64):
         x, y = left[low : low + 64, None], right[None]
         across = (label[x] != label[y]) & (~minor[y] | (node[x] < node[y]))  # two minor nodes meet twice
@@ -169,11 +179,17 @@ def block_pairs(block: pa.Table) -> pa.Table:
                 matches[part] += (sig[a[part], start:end] == sig[b[part], start:end]).sum(axis=1)
                 keep[part] = matches[part] >= bound
             a, b, matches = a[keep], b[keep], matches[keep]
-        same = (sig[a, :HASHES] == sig[b, :HASHES]).reshape(-1, BANDS, ROWS).all(axis=2)
+        same = (sig[a] == sig[b]).reshape(-1, BANDS, ROWS).all(axis=2)
         own = same.argmax(axis=1) == band
-        found.append((node[a[own]], node[b[own]]))
-    none = np.zeros(0, np.int64)
-    return pa.table({"a": np.concatenate([none, *(a for a, _ in found)]), "b": np.concatenate([none, *(b for _, b in found)])})
+        a, b, matches = a[own], b[own], matches[own]
+        met = None
+        for k in np.lexsort((-matches, label[b], a)):
+            u, v = a[k], b[k]
+            if met != (u, label[v]) and linked(values[ends[u] : ends[u + 1]], values[ends[v] : ends[v + 1]]):
+                met = (u, label[v])
+                found.append((node[u], node[v]))
+    u, v = np.array(found, np.int64).reshape(-1, 2).T
+    return pa.table({"u": u, "v": v})
 
 
 def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,9 +201,7 @@ def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (a, ta, tb) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")))):
             if last[0] != a:  # rows of one leader mostly follow one another
                 last = a, shingles(ta, powers)
-            sa, sb = last[1], shingles(tb, powers)
-            both = len(np.intersect1d(sa, sb, assume_unique=True))
-            if DENOMINATOR * both >= NUMERATOR * (len(sa) + len(sb) - both):
+            if linked(last[1], shingles(tb, powers)):
                 keep.append(i)
         kept = batch.take(pa.array(keep, pa.int64()))
         yield pa.record_batch({"u": kept.column("a"), "v": kept.column("b")})
@@ -229,14 +243,14 @@ def mixed(placed: DataFrame) -> DataFrame:
     return placed.join(several, "band")
 
 
-def across_components(members: DataFrame, labels: DataFrame, one: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) of the pairs in one bucket but in two components that may be linked."""
+def across_components(members: DataFrame, labels: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, v): links between components whose nodes share a bucket."""
     placed = members.select("band", "at", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    placed = written(mixed(placed).join(one.select("node", "n"), "node"), "mixed")
+    placed = written(mixed(placed).join(signatures.select("node", "n"), "node"), "mixed")
 
     # A link's shingles lie in both components, so a node needs enough that do.
     nodes = placed.groupBy("node").agg(F.min("label").alias("label"), F.min("n").alias("n"))
-    full = written(texts.join(nodes.select("node"), "node").mapInArrow(details, "node long, sig binary, s array<long>"), "details")
+    full = written(texts.join(nodes.select("node"), "node").mapInArrow(details, "node long, s array<long>"), "details")
     each = full.select("node", F.explode("s").alias("h")).join(nodes.select("node", "label"), "node")
     both = each.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("h")
     shared = each.join(both, "h").groupBy("node").agg(F.count(F.lit(1)).alias("f"))
@@ -249,16 +263,20 @@ def across_components(members: DataFrame, labels: DataFrame, one: DataFrame, tex
     left = written(mixed(placed.join(able, "node")), "able")
 
     # Nodes outside the largest component of a bucket (minor) meet all of the bucket, in blocks by a hash of the node.
-    sizes = left.groupBy("band", "label").count().groupBy("band")
-    sizes = sizes.agg(F.max_by("label", F.struct("count", "label")).alias("major"), F.sum("count").alias("all"), F.max("count").alias("top"))
-    rows = left.join(sizes, "band").withColumn("minor", F.col("label") != F.col("major"))
-    asking, asked = (F.ceil(size / BLOCK) for size in (F.col("all") - F.col("top"), F.col("all")))
+    sizes = left.groupBy("band", "label").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("size"))
+    top = F.max(F.struct("count", "label", "size"))
+    sizes = sizes.groupBy("band").agg(top.alias("top"), F.sum("count").alias("all"), F.sum("size").alias("shingles"))
+    rows = left.join(sizes, "band").withColumn("minor", F.col("label") != F.col("top.label"))
+    blocks_of = lambda count, size: F.ceil(F.greatest(count / BLOCK, size / BLOCK_SHINGLES))
+    asking = blocks_of(F.col("all") - F.col("top.count"), F.col("shingles") - F.col("top.size"))
+    asked = blocks_of(F.col("all"), F.col("shingles"))
     block, blocks = lambda c: F.pmod(F.xxhash64("node"), c), lambda c: F.explode(F.sequence(F.lit(0).cast("long"), c - 1))
     use = ("band", "at", "node", "label", "n", "f", "minor")
     queries = rows.where("minor").select(*use, F.lit(True).alias("asks"), block(asking).alias("i"), asked.alias("c")).select("*", blocks(F.col("c")).alias("j"))
     others = rows.select(*use, F.lit(False).alias("asks"), block(asked).alias("j"), asking.alias("c")).select("*", blocks(F.col("c")).alias("i"))
-    pairs_of_blocks = queries.drop("c").unionByName(others.drop("c")).join(full.select("node", "sig"), "node").groupBy("band", "i", "j")
-    return pairs_of_blocks.applyInArrow(block_pairs, "a long, b long")
+    sets = full.join(signatures.select("node", "sig"), "node")
+    pairs_of_blocks = queries.drop("c").unionByName(others.drop("c")).join(sets, "node").groupBy("band", "i", "j")
+    return pairs_of_blocks.applyInArrow(block_links, "u long, v long")
 
 
 def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -295,8 +313,7 @@ def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     links2 = written(do_link(apart(likely.join(best, ["a", "b"], "left_anti"), labels), texts), "links")
     labels = components(links.union(links2))
 
-    late = written(across_components(members, labels, one, texts), "likely")
-    links3 = written(do_link(late, texts), "links")
+    links3 = written(across_components(members, labels, signatures, texts), "links")
     if not links3.isEmpty():
         labels = components(links.union(links2).union(links3))
 
