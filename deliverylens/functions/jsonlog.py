@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from deliverylens.functions.text import finite
 
 
+# A number that is none, outside of strings: what follows it up to the end holds whole strings only.
+_NO_NUMBER = r'(?<![\w"])(?:-?Infinity|NaN)(?![\w"])(?=(?:[^"\\]++|"(?:[^"\\]++|\\.)*+")*+$)'
+
+
 def parse_line(line: Column) -> Column:
-    """VARIANT of a line, null when the line is no JSON."""
-    return F.try_parse_json(line)
+    """VARIANT of a line, null when the line is no JSON.
+
+    NaN and the infinities are read as null. Lines with a repeated key need
+    ``spark.sql.variant.allowDuplicateKeys``; the last value counts.
+    """
+    return F.coalesce(F.try_parse_json(line), F.try_parse_json(F.regexp_replace(line, _NO_NUMBER, "null")))
 
 
 def is_object(record: Column) -> Column:

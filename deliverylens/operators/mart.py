@@ -7,8 +7,22 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deliverylens.functions.dates import parse_timestamp
 from deliverylens.operators.checks import assert_grain
 
+# Date columns by table; a CSV scan delivers them as text.
+DATE_COLUMNS = {
+    "orders": (
+        "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ),
+    "order_items": ("shipping_limit_date",),
+    "order_reviews": ("review_creation_date", "review_answer_timestamp"),
+}
+
 # Order of the output columns, by the part that supplies them.
 ORDER_COLUMNS = (
     "order_id",
@@ -67,6 +81,26 @@ REVIEW_COLUMNS = (
 MART_COLUMNS = ORDER_COLUMNS + CUSTOMER_COLUMNS + ITEM_COLUMNS + PAYMENT_COLUMNS + REVIEW_COLUMNS
 
 
+def _date_text(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """Date columns that are still text, by table."""
+    found = {t: [c for c, kind in tables[t].dtypes if c in columns and kind == "string"] for t, columns in DATE_COLUMNS.items() if t in tables}
+    return {t: columns for t, columns in found.items() if columns}
+
+
+def parse_dates(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with date text as timestamps; text that is no date becomes null."""
+    text = _date_text(tables)
+    return {t: df.withColumns({c: parse_timestamp(c) for c in text.get(t, ())}) if t in text else df for t, df in tables.items()}
+
+
+def unparsed_dates(tables: dict[str, DataFrame]) -> dict[str, dict[str, int]]:
+    """How many values of each date text :func:`parse_dates` makes null, one aggregate a table."""
+    return {
+        t: tables[t].agg(*[F.count_if(F.col(c).isNotNull() & parse_timestamp(c).isNull()).alias(c) for c in columns]).first().asDict()
+        for t, columns in _date_text(tables).items()
+    }
+
+
 def zip_centroids(geolocation: DataFrame) -> DataFrame:
     """Mean coordinate per ZIP prefix. Partial sums make a hot prefix cheap."""
     return geolocation.groupBy(F.col("geolocation_zip_code_prefix").alias("zip")).agg(
@@ -157,35 +191,43 @@ _COUNTED = {
 }
 
 
+# Measures per order: sums, rows with a value, and largest values of item columns.
+_SUMMED = (
+    "price",
+    "freight_value",
+    "product_weight_g",
+    "product_length_cm",
+    "product_height_cm",
+    "product_width_cm",
+    "product_photos_qty",
+    "seller_lat",
+    "seller_lng",
+)
+_LARGEST = ("shipping_limit_date", "product_weight_g")
+
+
 def aggregate_items(details: DataFrame) -> DataFrame:
-    """Item measures per order, 20 of them.
+    """Item measures per order, 20 of them, in one pass over the items.
 
-    Sums and means are one plain aggregate. Distinct counts and modes come
-    from rows counted per order and value: both steps combine before their
-    shuffle and keep flat buffers, so an order with very many items is spread
-    over many tasks and no set of values is ever held in memory.
+    Every item becomes one row for its measures and one for each value that is
+    counted; both aggregates combine before their shuffle and keep flat
+    buffers, so an order with very many items is spread over many tasks, no
+    set of values is ever held in memory, and the items are read and joined
+    once.
     """
-    sums = details.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        F.sum("price").alias("total_item_price"),
-        F.avg("price").alias("avg_item_price"),
-        F.sum("freight_value").alias("total_freight_value"),
-        F.avg("freight_value").alias("avg_freight_value"),
-        F.max("shipping_limit_date").alias("max_shipping_limit_date"),
-        F.avg("product_weight_g").alias("avg_product_weight_g"),
-        F.max("product_weight_g").alias("max_product_weight_g"),
-        F.avg("product_length_cm").alias("avg_product_length_cm"),
-        F.avg("product_height_cm").alias("avg_product_height_cm"),
-        F.avg("product_width_cm").alias("avg_product_width_cm"),
-        F.avg("product_photos_qty").alias("avg_product_photos_qty"),
-        F.avg("seller_lat").alias("avg_seller_lat"),
-        F.avg("seller_lng").alias("avg_seller_lng"),
-    )
-    values = details.select("order_id", *[F.col(c).cast("string").alias(k) for k, c in _COUNTED.items()])
+    measures = sorted({*_SUMMED, *_LARGEST})
+    nothing = [F.lit(None).cast(details.schema[c].dataType).alias(c) for c in measures]
+    kinds = [F.struct(F.lit("item").alias("kind"), F.lit(None).cast("string").alias("value"), *measures)]
+    kinds += [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value"), *nothing) for k, c in _COUNTED.items()]
     counted = (
-        values.unpivot(["order_id"], list(_COUNTED), "kind", "value")
+        details.select("order_id", F.inline(F.array(*kinds)))
         .groupBy("order_id", "kind", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(c).alias(f"sum_{c}") for c in _SUMMED],
+            *[F.count(c).alias(f"count_{c}") for c in _SUMMED],
+            *[F.max(c).alias(f"max_{c}") for c in _LARGEST],
+        )
     )
     kind, value = F.col("kind"), F.col("value")
 
@@ -195,15 +237,31 @@ def aggregate_items(details: DataFrame) -> DataFrame:
     def mode(name: str) -> Column:
         return _most_frequent(F.when(kind == name, value), F.col("n"))
 
-    picked = counted.groupBy("order_id").agg(
+    def mean(column: str) -> Column:
+        return F.try_divide(F.sum(f"sum_{column}"), F.sum(f"count_{column}"))
+
+    return counted.groupBy("order_id").agg(
+        F.sum(F.when(kind == "item", F.col("n"))).alias("item_count"),
         distinct("product").alias("unique_products"),
         distinct("seller").alias("unique_sellers"),
+        F.sum("sum_price").alias("total_item_price"),
+        mean("price").alias("avg_item_price"),
+        F.sum("sum_freight_value").alias("total_freight_value"),
+        mean("freight_value").alias("avg_freight_value"),
+        F.max("max_shipping_limit_date").alias("max_shipping_limit_date"),
         distinct("category").alias("unique_product_categories"),
         mode("english").alias("primary_product_category"),
+        mean("product_weight_g").alias("avg_product_weight_g"),
+        F.max("max_product_weight_g").alias("max_product_weight_g"),
+        mean("product_length_cm").alias("avg_product_length_cm"),
+        mean("product_height_cm").alias("avg_product_height_cm"),
+        mean("product_width_cm").alias("avg_product_width_cm"),
+        mean("product_photos_qty").alias("avg_product_photos_qty"),
         distinct("state").alias("unique_seller_states"),
         mode("state").alias("primary_seller_state"),
+        mean("seller_lat").alias("avg_seller_lat"),
+        mean("seller_lng").alias("avg_seller_lng"),
     )
-    return sums.join(picked, "order_id").select("order_id", *ITEM_COLUMNS)
 
 
 def aggregate_payments(payments: DataFrame) -> DataFrame:
@@ -248,6 +306,7 @@ def build_order_mart(
     """
     columns = list(columns)
     wanted = set(columns)
+    tables = parse_dates(tables)
     orders = tables["orders"]
     centroids = zip_centroids(tables["geolocation"])
     if check:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from time import perf_counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.errors import ScoringError
 from deliverylens.functions.text import finite
-from deliverylens.operators.features import engineer_features, select_model_features
+from deliverylens.operators.features import engineer_features, prediction_input_columns, select_model_features
 from deliverylens.operators.model import class_probabilities
 from deliverylens.sources.bundle import Bundle, is_threshold
 from deliverylens.sources.orders_file import (
@@ -18,6 +19,7 @@ from deliverylens.sources.orders_file import (
     TEXT_FIELDS,
     TIME_FIELDS,
     load_orders,
+    read_order_file,
 )
 
 POSITIVE_CLASS = 1
@@ -104,6 +106,33 @@ def score_file(spark: SparkSession, source: str, target: str, bundle: Bundle) ->
     return spark.read.schema(result.schema).json(target)
 
 
+def score_and_log(spark: SparkSession, source: str, target: str, rejected: str, log: str, bundle: Bundle) -> DataFrame:
+    """Score an order file as one job: predictions, rejected orders with reasons, log lines.
+
+    Every order of the file is in exactly one of ``target`` and ``rejected``.
+    The logged latency is that of the write, which is where Spark scores.
+    """
+    from deliverylens.sources.logs import log_predictions
+
+    orders, misfit = read_order_file(spark, source)
+    misfit.write.mode("overwrite").json(rejected)
+    start = perf_counter()
+    result = with_version(score_rows(orders, bundle), bundle)
+    write_predictions(result, target)
+    latency = (perf_counter() - start) * 1000
+    inputs = prediction_input_columns(orders.columns)
+    log_predictions(
+        score_rows(orders, bundle, keep=inputs),
+        log,
+        input_columns=inputs,
+        latency_ms=latency,
+        model_type=bundle.model.model_type,
+        model_version=bundle.version,
+        threshold=bundle.threshold,
+    )
+    return spark.read.schema(result.schema).json(target)
+
+
 # --- order-record contract -------------------------------------------------
 
 

@@ -76,10 +76,32 @@ _PRODUCT_SCHEMA = (
 
 def _csv_copy(st: Stages, name: str, schema: str) -> DataFrame:
     folder = run_dir(st.spark, "csv")
-    st.tables[name].write.option("header", True).csv(f"{folder}/{name}.csv")
+    _write_csv(st, name, folder)
     return tbl.read_sources(st.spark, folder, schemas={name: schema}).tables[name]
 
 
+def _write_csv(st: Stages, name: str, folder: str) -> None:
+    writer = st.tables[name].write.option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}.csv")
+
+
+def _text_dates(df: DataFrame) -> str:
+    """The table's schema with dates as text, as CSV files have them."""
+    return ", ".join(f"{c} {'string' if kind.startswith(('timestamp', 'date')) else kind}" for c, kind in df.dtypes)
+
+
+def _csv_scan(name: str) -> None:
+    @query(f"s1_csv_scan_{name}")
+    def _(st):
+        copy = _csv_copy(st, name, _text_dates(st.tables[name]))
+        return mart.parse_dates({name: copy})[name]
+
+
+for _name in tbl.SOURCE_TABLES:
+    if _name not in ("order_items", "products"):
+        _csv_scan(_name)
+
+
 @query("s1_csv_scan_order_items")
 def _(st):
     return _csv_copy(st, "order_items", _ITEM_SCHEMA)
@@ -482,6 +504,17 @@ def _(st):
     return profile.late_rate_by(feat.profile_features(st.labelled()), "purchase_year_month", True)
 
 
+@query("a7_late_rate_by_month_csv")
+def _(st):
+    """The training months of a run that starts from the nine CSV files, whose dates are text."""
+    folder = run_dir(st.spark, "csv")
+    for name in st.tables:
+        _write_csv(st, name, folder)
+    schemas = {name: _text_dates(df) for name, df in st.tables.items()}
+    run = Stages(st.spark, tbl.read_sources(st.spark, folder, schemas=schemas).tables)
+    return profile.late_rate_by(run.train_profile(), "purchase_year_month", True)
+
+
 def late_rate_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rate by customer state over all labelled orders, straight from the raw tables."""
     t = fixture_stages(spark, sf_dir).tables
@@ -1167,6 +1200,24 @@ def _(st):
     return _tied(st).select("order_id", score.apply_threshold(F.col("score"), 0.5).alias("predicted_is_late"))
 
 
+@query("e14_score_and_log")
+def _(st):
+    """Rows written by the job that scores a file of all parts, one of a hundred orders with a bad value."""
+    source, target, rejected, log = (run_dir(st.spark, n) for n in ("orders", "scores", "rejected", "log"))
+    rows = st.labelled()
+    orders = rows.select(*feat.prediction_input_columns(rows.columns))
+    bad = F.when(F.col("order_id") % 100 == 0, F.lit("much")).otherwise(F.col("item_count").cast("string"))
+    orders.withColumn("item_count", bad).write.option("header", True).csv(f"{source}/orders.csv")
+    scored = score.score_and_log(st.spark, f"{source}/orders.csv", target, rejected, log, fixed_bundle(st))
+    event = jsonlog.text_field(F.col("record"), "$.event")
+    sinks = {
+        "scored": scored.agg(F.count(F.lit(1)).alias("rows")),
+        "rejected": st.spark.read.json(rejected).filter(F.array_contains("reasons", "item_count is no double")).agg(F.count(F.lit(1)).alias("rows")),
+        "logged": logs.read_jsonl(st.spark, log).records.agg(F.count_if(event == "prediction").alias("rows")),
+    }
+    return checks.stack([df.select(F.lit(name).alias("sink"), "rows") for name, df in sinks.items()])
+
+
 @query("e14_score_file")
 def _(st):
     source = run_dir(st.spark, "orders") + "/orders.csv"
@@ -1229,11 +1280,11 @@ def _log_stream(st: Stages, name: str) -> DataFrame:
 
 @query("b7_stream_request_windows")
 def _(st):
-    """Closed ten-minute windows of the request stream."""
+    """One-day windows of the request stream, open ones included."""
     out, state = run_dir(st.spark, "windows"), run_dir(st.spark, "state")
     windows = stream_metrics.windowed_requests(_log_stream(st, "request_log"), "1 day", "6 hours")
-    stream_metrics.start_windows(windows, out, state).awaitTermination()
-    return st.spark.read.schema(windows.schema).parquet(out).select(
+    stream_metrics.publish_windows(windows, out, state).awaitTermination()
+    return stream_metrics.published(st.spark, out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         *[c for c in windows.columns if not c.startswith("window")],
     )
@@ -1241,11 +1292,11 @@ def _(st):
 
 @query("b7_stream_prediction_windows")
 def _(st):
-    """Closed one-day windows of the prediction stream, sliding by half a day."""
+    """One-day windows of the prediction stream, sliding by half a day, open ones included."""
     out, state = run_dir(st.spark, "windows"), run_dir(st.spark, "state")
     windows = stream_metrics.windowed_predictions(_log_stream(st, "prediction_log"), "1 day", "6 hours", "12 hours")
-    stream_metrics.start_windows(windows, out, state).awaitTermination()
-    return st.spark.read.schema(windows.schema).parquet(out).select(
+    stream_metrics.publish_windows(windows, out, state).awaitTermination()
+    return stream_metrics.published(st.spark, out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         *[c for c in windows.columns if not c.startswith("window")],
     )

@@ -16,7 +16,7 @@ from deliverylens.operators import metrics, model, prep, split
 from deliverylens.operators.checks import stack
 from deliverylens.operators.features import engineer_features, profile_features, select_model_features
 from deliverylens.operators.labels import add_label, labelable
-from deliverylens.operators.mart import build_order_mart
+from deliverylens.operators.mart import build_order_mart, parse_dates
 from deliverylens.session import run_dir
 from deliverylens.sources.bundle import Bundle
 from deliverylens.sources.fixtures import commerce_table, commerce_tables
@@ -35,7 +35,7 @@ class Stages:
         log_lines: Callable[[str], DataFrame] | None = None,
     ):
         self.spark = spark
-        self.tables = tables
+        self.tables = parse_dates(tables)
         self._log_lines = log_lines
         self._built: dict[str, object] = {}
 

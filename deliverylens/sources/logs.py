@@ -34,7 +34,11 @@ class LogScan:
 
 
 def scan_lines(df: DataFrame, column: str = "value") -> LogScan:
-    """Parse log text lines; blank lines are skipped, lines that hold no object are invalid."""
+    """Parse log text lines; blank lines are skipped, lines that hold no object are invalid.
+
+    Repeated keys are allowed in the session from here on, as log writers allow them.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     filled = df.filter(F.trim(F.translate(column, "\t\r\n", "   ")) != "")
     keep = [c for c in df.columns if c != column]
     # A generator keeps later filters above the parse, so a line is parsed once.

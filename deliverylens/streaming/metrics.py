@@ -26,9 +26,19 @@ def read_log_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     return with_event_time(lines)
 
 
+def _event_time() -> Column:
+    return text_field(F.col("record"), "$.timestamp").try_cast("timestamp")
+
+
 def with_event_time(lines: DataFrame) -> DataFrame:
-    records = scan_lines(lines).records
-    return records.withColumn("event_time", text_field(F.col("record"), "$.timestamp").try_cast("timestamp"))
+    return scan_lines(lines).records.withColumn("event_time", _event_time())
+
+
+def set_aside(lines: DataFrame) -> DataFrame:
+    """The lines no window can count, with the reason; a stream of its own beside the windows."""
+    scanned = scan_lines(lines.withColumn("line", F.col("value"))).lines
+    reason = F.when(~F.col("valid"), "no object").when(_event_time().isNull(), "no timestamp")
+    return scanned.select("line", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def _window(length: str, slide: str | None) -> Column:
@@ -123,6 +133,33 @@ def start_alerts(
     )
 
 
+def publish_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every window a batch has changed, open ones included.
+
+    Each batch has a folder of its own, so a batch that runs again replaces its
+    rows. :func:`published` reads how the windows stand.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        windows.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(each)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """Each published window as its last batch left it."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    values = [c for c in rows.columns if c not in ("window_start", "window_end", "batch")]
+    last = rows.groupBy("window_start", "window_end").agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return last.select("window_start", "window_end", "last.*")
+
+
 def start_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append closed windows as Parquet files."""
     return (

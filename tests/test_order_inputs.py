@@ -4,8 +4,12 @@ import pytest
 from conftest import SF_DIR  # noqa: F401
 from pyspark.sql import functions as F
 
+from deliverylens.errors import OrderFileError
+from deliverylens.functions.jsonlog import safe_float, text_field
+from deliverylens.operators.mart import parse_dates, unparsed_dates
 from deliverylens.operators.score import ORDER_FIELDS
-from deliverylens.sources.orders_file import load_orders
+from deliverylens.sources.logs import scan_lines
+from deliverylens.sources.orders_file import load_orders, read_order_file
 from deliverylens.streaming.scoring import read_order_stream, rejected_stream, scored_stream, start_scoring
 from deliverylens.plans.queries import fixed_bundle
 
@@ -30,3 +34,34 @@ def test_stream_writes_scored_and_rejected_records(spark, stages, tmp_path):
     scored, rejected = (spark.read.parquet(str(tmp_path / n)) for n in ("scored", "rejected"))
     assert scored.count() + rejected.count() == rows.union(bad).count()
     assert rejected.where(F.col("order_id").isNull() & (F.size("reasons") > 0)).count() == 3
+
+
+def test_orders_with_bad_values_are_kept_apart(spark, tmp_path):
+    path = tmp_path / "orders.csv"
+    path.write_text("order_id,item_count,order_approved_at\na,2,2018-01-01 10:00:00\nb,much,2018-01-01\nc,,soon\n")
+    fit, misfit = read_order_file(spark, str(path))
+    assert [r["order_id"] for r in fit.collect()] == ["a"]
+    assert {r["order_id"]: r["reasons"] for r in misfit.collect()} == {"b": ["item_count is no double"], "c": ["order_approved_at is no timestamp_ntz"]}
+    with pytest.raises(OrderFileError, match="no double|no timestamp"):
+        load_orders(spark, str(path))
+
+
+def test_log_lines_that_other_parsers_accept(spark):
+    lines = [
+        '{"a": 1, "a": 2}',
+        '{"a": NaN, "b": [-Infinity, Infinity], "c": "NaN, \\" NaN"}',
+        '{"a": "x NaN"}',
+        '{"a": NaN',
+        "NaN",
+    ]
+    scan = scan_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert scan.report.first().asDict() == {"lines": 5, "records": 3, "invalid": 2}
+    a, c = (safe_float(F.col("record"), "$.a").alias("a"), text_field(F.col("record"), "$.c").alias("c"))
+    assert [tuple(r) for r in scan.records.select(a, c).collect()] == [(2.0, None), (None, 'NaN, " NaN'), (None, None)]
+
+
+def test_dates_of_csv_files_are_parsed_and_counted(spark):
+    orders = spark.createDataFrame([("a", "2018-01-01 10:00:00"), ("b", "soon"), ("c", None)], "order_id string, order_approved_at string")
+    assert unparsed_dates({"orders": orders}) == {"orders": {"order_approved_at": 1}}
+    parsed = parse_dates({"orders": orders})["orders"]
+    assert dict(parsed.dtypes)["order_approved_at"] == "timestamp_ntz" and parsed.filter("order_approved_at is null").count() == 2

@@ -30,6 +30,13 @@ def test_row_paths_have_no_python_and_no_pair_products(spark, stages):
             assert operator not in text, operator
 
 
+def test_items_are_read_once(stages):
+    t = stages.tables
+    details = mart.item_details(*(t[n] for n in ("order_items", "products", "product_category_translation", "sellers")), mart.zip_centroids(t["geolocation"]))
+    text = plan(mart.aggregate_items(details))
+    assert text.count("lineitem.parquet") == 1
+
+
 def test_scoring_does_not_shuffle(stages):
     text = plan(score.score_rows(stages.part("test"), fixed_bundle(stages)))
     assert "HashPartitioning" not in text and "hashpartitioning" not in text

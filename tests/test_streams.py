@@ -40,6 +40,24 @@ def test_windows_and_late_events(spark, tmp_path):
     assert second[0]["request_count"] == 2
 
 
+def test_open_windows_are_published_and_other_lines_set_aside(spark, tmp_path):
+    log, out, aside = tmp_path / "log", tmp_path / "out", tmp_path / "aside"
+    write_log(log, "a.jsonl", [(1, request(100)), (12, request(50))])
+    (log / "c.jsonl").write_text(json.dumps(request(1)) + "\n")
+
+    def publish():
+        windows = sm.windowed_requests(sm.read_log_stream(spark, str(log)), "10 minutes", "5 minutes")
+        sm.publish_windows(windows, str(out), str(tmp_path / "state")).awaitTermination()
+        return [r["request_count"] for r in sm.published(spark, str(out)).orderBy("window_start").collect()]
+
+    assert publish() == [1, 1]
+    write_log(log, "b.jsonl", [(13, request(70))])
+    assert publish() == [1, 2]
+    lines = sm.set_aside(spark.readStream.text(str(log)))
+    sm.start_windows(lines, str(aside), str(tmp_path / "aside-state")).awaitTermination()
+    assert sorted(r["reason"] for r in spark.read.parquet(str(aside)).collect()) == ["no object", "no object", "no timestamp"]
+
+
 def test_alerts_are_delivered(spark, tmp_path):
     log = tmp_path / "log"
     write_log(log, "a.jsonl", [(1, request(900)), (12, request(10)), (60, request(10))])
