@@ -1,19 +1,21 @@
 """Operator 5: cross-entropy difference of a target and a background n-gram model.
 
-Both models are bigram models over one vocabulary: the ``VOCABULARY`` words with the
-highest counts over all documents, and one unknown word. Counts of the background
-are scaled to the size of the target, and both add ``ADD`` to each bigram, so they
-differ in what they have seen only. A document's score is the mean over its
-tokens of the target's loss minus the background's; low scores resemble the target.
-
-1. Words are counted over all documents; the vocabulary has a fixed size and goes
-   to all tasks with its counts.
-2. Bigrams that a sample shows to be frequent (``HOT`` at most) are counted exactly
-   over all documents and go to all tasks too, so no bucket gets a row for every
-   document.
-3. All other bigrams are sent, packed by document, to the bucket of the bigram.
-   There they are counted over all documents and each document gets its share of
-   both losses back; Spark adds these up. Nothing else is dropped or capped.
+Both models are bigram models over one vocabulary: every word of all documents.
+Counts of the background are scaled to the size of the target, and both add ``ADD``
+to each bigram, so they differ in what they have seen only. A document's score is
+the mean over its tokens of the target's loss minus the background's; low scores
+resemble the target.
+
+1. Words are 64-bit hashes, so no task holds a vocabulary; one aggregate counts the
+   distinct words and the tokens of both models. Bigrams and contexts (the word
+   before a token, or the start of a text) are keys of 63 hashed bits and one bit
+   for their kind.
+2. Keys that a sample shows to be frequent (``HOT`` at most) are counted exactly
+   over all documents and go to all tasks, so no bucket gets a row for every
+   document. ``HOT`` bounds what is broadcast, not what is counted.
+3. All other keys are sent, packed by document, to the bucket of the key. There
+   they are counted over all documents and each document gets its share of both
+   losses back; Spark adds these up. Nothing is dropped, merged or capped.
 
 Defined cases: null and empty texts have no tokens and a null score; a null mark
 of the target counts as background; rows with equal id and text share one
@@ -33,11 +35,12 @@ from deliverylens.llm.common import U64, Powers, as_bytes, group_starts, mix, pa
 
 ship(__name__)
 
-VOCABULARY = 1 << 15
-HOT = 1 << 12
+HOT = 1 << 15
 ADD = 0.1
 SAMPLE_BYTES = 32 << 20
 FLUSH = 1_000_000
+START = U64(0)  # the context of a text's first token
+CONTEXT = U64(1)  # the bit that tells contexts from bigrams
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -86,68 +89,69 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-class Words:
-    """Numbers of the vocabulary's words; 0 is the unknown word, the one past the last starts a text."""
+def keys_of(text: bytes, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the contexts and of the bigrams of a text's tokens."""
+    w = word_hashes(text, powers)
+    if not len(w):
+        return w, w
+    before = np.concatenate([np.array([START]), w[:-1]])
+    return mix(before) | CONTEXT, mix(before * U64(3) + mix(w)) & ~CONTEXT
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes, self.size = hashes, len(hashes) + 2
 
-    def bigrams(self, text: bytes, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-        """Contexts and bigram numbers of the tokens of a text."""
-        w = word_hashes(text, powers)
-        if not len(w):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.searchsorted(self.hashes, w)
-        known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == w if len(self.hashes) else np.zeros(len(w), bool)
-        ids = np.where(known, at + 1, 0)
-        before = np.concatenate([[self.size - 1], ids[:-1]])
-        return before, before * self.size + ids
+def places(hot: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys in a sorted array, and whether they are in it."""
+    if not len(hot):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
+    return at, hot[at] == keys
 
 
-def bigram_counts(model, wanted):
-    """(k, t, b) of bigrams: all, or those of a sorted array; and of contexts as -1 - number."""
+def key_counts(wanted):
+    """(k, t, b) of bigrams and contexts: all, or those of a sorted array."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, powers, got, marks = Words(model.value[0]), Powers(), [], []
+        powers, got, marks, held = Powers(), [], [], 0
         only = None if wanted is None else wanted.value
+
+        def out() -> pa.RecordBatch:
+            k, t, b = summed(np.concatenate(got), np.concatenate(marks))
+            return pa.record_batch({"k": pa.array(k.view(np.int64)), "t": pa.array(t), "b": pa.array(b)})
+
         for batch in batches:
             for text, mark in zip(batch.column("bytes").to_pylist(), batch.column("target").to_pylist()):
-                before, pairs = words.bigrams(text, powers)
+                keys = np.concatenate(keys_of(text, powers))
                 if only is not None:
-                    at = np.minimum(np.searchsorted(only, pairs), max(len(only) - 1, 0))
-                    pairs = pairs[only[at] == pairs] if len(only) else pairs[:0]
-                    pairs = np.concatenate([pairs, -1 - before])
-                got.append(pairs)
-                marks.append(np.full(len(pairs), mark, bool))
-            if sum(map(len, got)) > FLUSH:
-                k, t, b = summed(np.concatenate(got), np.concatenate(marks))
-                yield pa.record_batch({"k": pa.array(k), "t": pa.array(t), "b": pa.array(b)})
-                got, marks = [], []
+                    keys = keys[places(only, keys)[1]]
+                got.append(keys)
+                marks.append(np.full(len(keys), mark, bool))
+                held += len(keys)
+            if held > FLUSH:
+                yield out()
+                got, marks, held = [], [], 0
         if got:
-            k, t, b = summed(np.concatenate(got), np.concatenate(marks))
-            yield pa.record_batch({"k": pa.array(k), "t": pa.array(t), "b": pa.array(b)})
+            yield out()
 
     return run
 
 
-def losses(t: np.ndarray, b: np.ndarray, scale: float, add: float) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of counts under the target and the scaled background, before the common divisor."""
-    return -np.log2(t + add), -np.log2(b * scale + add)
+def losses(keys: np.ndarray, t: np.ndarray, b: np.ndarray, scale: float, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits that keys add under the target and the scaled background; contexts are divisors, so theirs are negative losses."""
+    context = (keys & CONTEXT).astype(bool)
+    add, sign = np.where(context, ADD * words, ADD), np.where(context, 1.0, -1.0)
+    return sign * np.log2(t + add), sign * np.log2(b * scale + add)
 
 
 ENTRY_SCHEMA = "bucket int, docs binary, sizes binary, pairs binary, times binary, marks binary"
 SHARE_SCHEMA = "key long, tokens long, target_bits double, background_bits double"
 
 
-def scored_entries(model, hot, n_buckets: int, scale: float, send: bool):
-    """What a task knows of its documents' losses (``send`` false), or the bigrams to look up by bucket."""
+def scored_entries(hot, n_buckets: int, scale: float, words: int, send: bool):
+    """What a task knows of its documents' losses (``send`` false), or the keys to look up by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, context_t, context_b = model.value
         keys, hot_t, hot_b = hot.value
-        words, powers = Words(hashes), Powers()
-        ct, cb = losses(context_t, context_b, scale, ADD * words.size)
-        ht, hb = losses(hot_t, hot_b, scale, ADD)
+        ht, hb = losses(keys, hot_t, hot_b, scale, words)
+        powers = Powers()
         rows: list[tuple[int, bool, np.ndarray, np.ndarray]] = []
         held = 0
 
@@ -155,8 +159,8 @@ def scored_entries(model, hot, n_buckets: int, scale: float, send: bool):
             size = np.array([len(r[2]) for r in rows])
             pairs, times = np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows])
             doc = np.repeat(np.arange(len(rows)), size)
-            bucket = (mix(pairs.astype(U64)) % U64(n_buckets)).astype(np.int64)
-            order = np.lexsort((pairs, doc, bucket))
+            bucket = (mix(pairs) % U64(n_buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # by document and key already
             pairs, times, doc, bucket = pairs[order], times[order], doc[order], bucket[order]
             at = group_starts(bucket)
             out: dict[str, list] = {c: [] for c in ("bucket", "docs", "sizes", "pairs", "times", "marks")}
@@ -168,29 +172,25 @@ def scored_entries(model, hot, n_buckets: int, scale: float, send: bool):
                 out["docs"].append(ids[own].tobytes())
                 out["marks"].append(marks[own].tobytes())
                 out["sizes"].append(np.diff(np.append(first, z - a)).astype(np.uint32).tobytes())
-                out["pairs"].append(pairs[a:z].astype(np.uint32).tobytes())
-                out["times"].append(np.minimum(times[a:z], 65535).astype(np.uint16).tobytes())
+                out["pairs"].append(pairs[a:z].tobytes())
+                out["times"].append(times[a:z].astype(np.uint16).tobytes())
             return pa.record_batch({c: pa.array(v, pa.int32() if c == "bucket" else pa.binary()) for c, v in out.items()})
 
         for batch in batches:
             shares = []
             for key, text, mark in zip(*(batch.column(c).to_pylist() for c in ("key", "bytes", "target"))):
-                before, pairs = words.bigrams(text, powers)
-                found = np.zeros(len(pairs), bool)
-                if len(keys) and len(pairs):
-                    at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-                    found = keys[at] == pairs
+                context, pairs = keys_of(text, powers)
+                both = np.concatenate([context, pairs])
+                at, found = places(keys, both)
                 if send:
-                    rest = pairs[~found]
+                    rest = both[~found]
                     while len(rest):
                         part, rest = rest[:65535], rest[65535:]  # so that counts fit
                         own, times = np.unique(part, return_counts=True)
                         rows.append((key, bool(mark), own, times))
                         held += len(own)
                 else:
-                    t, b = -ct[before].sum(), -cb[before].sum()  # the divisor of each token
-                    if found.any():
-                        t, b = t + ht[at[found]].sum(), b + hb[at[found]].sum()
+                    t, b = ht[at[found]].sum(), hb[at[found]].sum()
                     shares.append((key, len(pairs), float(t), float(b)))
             if not send:
                 k, n, t, b = zip(*shares) if shares else ((), (), (), ())
@@ -205,12 +205,12 @@ def scored_entries(model, hot, n_buckets: int, scale: float, send: bool):
     return run
 
 
-def looked_up(scale: float):
-    """Losses of each document's bigrams in the buckets of a task, from counts over all documents."""
+def looked_up(scale: float, words: int):
+    """Losses of each document's keys in the buckets of a task, from counts over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, list[np.ndarray]] = {c: [] for c in ("docs", "marks", "sizes", "pairs", "times")}
-        kinds = {"docs": np.int64, "marks": np.uint8, "sizes": np.uint32, "pairs": np.uint32, "times": np.uint16}
+        kinds = {"docs": np.int64, "marks": np.uint8, "sizes": np.uint32, "pairs": U64, "times": np.uint16}
         for batch in batches:
             for c, kind in kinds.items():
                 got[c] += [np.frombuffer(x, kind) for x in batch.column(c).to_pylist()]
@@ -225,7 +225,7 @@ def looked_up(scale: float):
         n = times[order].astype(np.int64)
         t = np.add.reduceat(n * mark[order], start)
         b = np.add.reduceat(n, start) - t
-        lt, lb = losses(t, b, scale, ADD)
+        lt, lb = losses(pairs[order][start], t, b, scale, words)
         bits = np.empty((2, len(order)))
         bits[0, order], bits[1, order] = np.repeat(lt, size) * n, np.repeat(lb, size) * n
         total = np.add.reduceat(bits, first, axis=1)
@@ -253,29 +253,25 @@ def score(docs: DataFrame, target: Column, id_column: str = "doc_id", text_colum
     keyed = docs.select(F.col(id_column).alias("id"), F.xxhash64(id_column, text_column).alias("key"), as_bytes(text_column).alias("bytes"), F.coalesce(target, F.lit(False)).alias("target"))
 
     counts = keyed.select("bytes", "target").mapInArrow(word_counts, "k long, t long, b long").groupBy("k").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-    top = counts.orderBy(F.desc(F.col("t") + F.col("b")), "k").limit(VOCABULARY).collect()
-    hashes = np.sort(np.array([r["k"] for r in top], np.int64).view(U64))
-    vocabulary = sc.broadcast((hashes,))
+    whole = counts.agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b")).first()
+    words = whole["n"] + 2  # and the start and a word that no text has
+    scale = whole["t"] / whole["b"] if whole["t"] and whole["b"] else 1.0
 
     share = min(1.0, SAMPLE_BYTES / max(total, 1))
     some = keyed.where(F.pmod("key", F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("bytes", "target")
-    often = some.mapInArrow(bigram_counts(vocabulary, None), "k long, t long, b long").groupBy("k").agg(F.sum(F.col("t") + F.col("b")).alias("n"))
-    hot = np.sort(np.array([r["k"] for r in often.orderBy(F.desc("n"), "k").limit(HOT).collect()], np.int64))
-    exact = keyed.select("bytes", "target").mapInArrow(bigram_counts(vocabulary, sc.broadcast(hot)), "k long, t long, b long")
+    often = some.mapInArrow(key_counts(None), "k long, t long, b long").groupBy("k").agg(F.sum(F.col("t") + F.col("b")).alias("n"))
+    top = np.array([r["k"] for r in often.orderBy(F.desc("n"), "k").limit(HOT).collect()], np.int64)
+    wanted = np.sort(top.view(U64))
+    exact = keyed.select("bytes", "target").mapInArrow(key_counts(sc.broadcast(wanted)), "k long, t long, b long")
     found = {r["k"]: (r["t"], r["b"]) for r in exact.groupBy("k").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).collect()}
-    size = len(hashes) + 2
-    context = np.array([found.get(-1 - i, (0, 0)) for i in range(size)], np.float64)
-    pairs = np.array([found.get(int(k), (0, 0)) for k in hot], np.float64).reshape(-1, 2)
-    n_target, n_background = context.sum(axis=0)
-    scale = float(n_target / n_background) if n_background and n_target else 1.0
-
-    model = sc.broadcast((hashes, context[:, 0], context[:, 1]))
-    frequent = sc.broadcast((hot, pairs[:, 0], pairs[:, 1]))
+    sums = np.array([found[int(k)] for k in wanted.view(np.int64)], np.float64).reshape(-1, 2)
+
+    hot = sc.broadcast((wanted, sums[:, 0], sums[:, 1]))
     # Rows with equal id and text are one document below; their counts stay those of all rows.
     entries = keyed.select("key", "bytes", "target")
-    own = entries.mapInArrow(scored_entries(model, frequent, 1, scale, False), SHARE_SCHEMA)
-    sent = entries.mapInArrow(scored_entries(model, frequent, 4 * n_parts, scale, True), ENTRY_SCHEMA)
-    shares = sent.repartition(n_parts, "bucket").mapInArrow(looked_up(scale), SHARE_SCHEMA)
+    own = entries.mapInArrow(scored_entries(hot, 1, scale, words, False), SHARE_SCHEMA)
+    sent = entries.mapInArrow(scored_entries(hot, 4 * n_parts, scale, words, True), ENTRY_SCHEMA)
+    shares = sent.repartition(n_parts, "bucket").mapInArrow(looked_up(scale, words), SHARE_SCHEMA)
     sums = own.union(shares).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("tokens", "target_bits", "background_bits")))
     mean = {c: F.when(F.col("tokens") > 0, F.col(c) / F.col("tokens")).alias(c) for c in ("target_bits", "background_bits")}
     # Repeated rows add up alike in bits and tokens, so their means are those of one row.

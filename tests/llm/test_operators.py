@@ -232,6 +232,29 @@ def test_lm_contrast_equals_plain_counts(docs, rows, empty):
     assert lm_contrast.score(empty, F.lit(True)).count() == 0
 
 
+def test_lm_contrast_counts_every_word(spark):
+    n, rows = 40_000, []
+    for d in range(200):  # rare words, some shared by target and background
+        first = (d // 2 - d % 2 * (d // 2 % 2)) * n // 100
+        rows.append((d, " ".join(f"w{(first + i * (1 + d % 3)) % n}" for i in range(n // 100)), d % 5 == 0))
+    rows.append((200, " ".join(f"w{i}" for i in range(n)), False))
+    pairs, contexts = {True: Counter(), False: Counter()}, {True: Counter(), False: Counter()}
+    for _, text, mark in rows:
+        ws = text.split()
+        pairs[mark].update(zip([None, *ws], ws))
+        contexts[mark].update([None, *ws[:-1]])
+    size, add = n + 2, lm_contrast.ADD
+    scale = sum(contexts[True].values()) / sum(contexts[False].values())
+    want = {}
+    for d, text, _ in rows:
+        ws = text.split()
+        t = sum(math.log2((contexts[True][x] + add * size) / (pairs[True][x, y] + add)) for x, y in zip([None, *ws], ws))
+        b = sum(math.log2((contexts[False][x] * scale + add * size) / (pairs[False][x, y] * scale + add)) for x, y in zip([None, *ws], ws))
+        want[d] = (t - b) / len(ws)
+    got = lm_contrast.score(spark.createDataFrame(rows, "doc_id long, text string, target boolean"), F.col("target")).collect()
+    assert len(got) == len(rows) and all(abs(r.score - want[r.doc_id]) < 1e-8 for r in got)
+
+
 def test_digest_chain_follows_descending_ids(docs, rows, empty):
     order = sorted(rows, key=lambda r: (-r[0] if r[0] is not None else math.inf, (r[1] or "").encode()))
     want = []
