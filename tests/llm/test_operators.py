@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -340,6 +341,24 @@ def test_pfair_schedule_stays_within_one_block():
             assert abs(sum(x < t for x in slots[s]) - a * t / 1000) < 1
 
 
+def test_pfair_follows_exact_weights_over_long_phases():
+    sizes = {"hot": 5_000_000, **{f"s{i:02}": 500_000 for i in range(20)}, "rare": 300}
+    for weights in ({s: n**0.5 for s, n in sizes.items()}, {s: 1 / 3 if s == "hot" else 1e-4 if s == "rare" else 0.7 for s in sizes}):
+        blocks = {s: -(-n // 64) for s, n in sizes.items()} | {"rare": 5000}
+        exact = {s: Fraction(w) / sum(map(Fraction, weights.values())) for s, w in weights.items()}
+        phase = min(int(n / exact[s]) for s, n in blocks.items())
+        assert phase > 40_000
+        taken = dict.fromkeys(sizes, 0)
+        for t, (s, block, slot) in enumerate(itertools.islice(pfair_mix.schedule(blocks, weights), phase), 1):
+            assert (block, slot) == (taken[s], t - 1)
+            taken[s] += 1
+            if t % 97 == 0 or t == phase:
+                assert all(abs(taken[x] - exact[x] * t) < 1 for x in sizes)
+    found = list(pfair_mix.schedule({"a": 7, "b": 1, "c": 30}, {"a": 2.0, "b": 5.0, "c": 0.1}))
+    assert sorted((s, k) for s, k, _ in found) == sorted((s, k) for s, n in (("a", 7), ("b", 1), ("c", 30)) for k in range(n))
+    assert [slot for *_, slot in found] == list(range(38))
+
+
 def test_pfair_places_every_row_once(docs, empty):
     mixed = pfair_mix.mix(docs, block=4)
     found = mixed.collect()
