@@ -29,14 +29,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: the rows are put in the order of the mixture."""
-    return pfair_mix.in_order(docs)
+    """Operator 9: the rows get their place in the mixture, which readers of several files would lose."""
+    return pfair_mix.mix(docs).drop("source_block", "slot").orderBy("place")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: token ids, and whether they decode to the text."""
+    """Operator 4: token ids, whether they decode to the text, and the place in the mixture."""
     out = byte_bpe.encode_decode(docs.withColumn("original", F.coalesce(F.col("text"), F.lit("")).cast("binary")), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
-    return out.select("rest.doc_id", "rest.lang", "rest.source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("rest.original")).alias("round_trip"))
+    return out.select("rest.doc_id", "rest.lang", "rest.source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("rest.original")).alias("round_trip"), "rest.place")
 
 
 STAGES = [

@@ -396,3 +396,26 @@ def test_pipeline_rows(spark):
     left = [(i, r.text) for i, r in docs.items() if i not in bad]
     groups = brute_groups([(i, t) for i, t in left])
     assert {r.doc_id for r in got} == {g[0] for g in groups if g[3]}
+
+
+def test_pipeline_places_and_ids_equal_brute_force(spark):
+    import corpus_pipeline
+
+    got = corpus_pipeline.run(spark, SF_DIR).collect()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("h", F.xxhash64(F.lit(9), "doc_id")).collect()
+    bad = {r.doc_id for r in QUERIES["op3_quality_classifier"](spark, SF_DIR).collect() if not r.predicted}
+    groups = brute_groups([(r.doc_id, r.text) for r in docs if r.doc_id not in bad])
+    first = {g[0] for g in groups if g[3]}
+    left = [r for r in docs if r.doc_id in first]
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    texts = {i: kept.decode(errors="ignore") for i, *_, kept in brute_cut([(r.doc_id, r.text) for r in left])}
+    assert {r.doc_id: list(r.ids) for r in got} == {i: library.encode_ordinary(t) for i, t in texts.items()}
+    sources = {}
+    for r in sorted(left, key=lambda r: (r.h, r.doc_id)):
+        sources.setdefault(r.source or "", []).append(r.doc_id)
+    blocks = {s: -(-len(ids) // 64) for s, ids in sources.items()}
+    want = {}
+    for s, k, slot in pfair_mix.schedule(blocks, {s: len(ids) ** 0.5 for s, ids in sources.items()}):
+        want.update({i: slot * 64 + j for j, i in enumerate(sources[s][64 * k : 64 * k + 64])})
+    assert {r.doc_id: r.place for r in got} == want
