@@ -10,13 +10,14 @@ need no correction among themselves; over rules and strata the error is divided
 ``RISK`` of its good documents to the rules. A rule is used only if it then rejects
 some bad document; strata with too few labels reject nothing beyond the base.
 
-Counts come from all labelled rows through one Spark aggregate; the driver gets
-one row per stratum, rule and grid step. Statistics are made once per document,
-whole texts are read, and no text is shuffled.
+Every stratum is judged on its own, however many there are. Counts come from all
+labelled rows through one Spark aggregate; tasks choose the cutoffs of the strata
+they hold, and the table of cutoffs is joined to the documents. The driver gets
+the number of strata only. Statistics are made once per document, whole texts are
+read, and no text is shuffled.
 
 Defined cases: a null or empty text has no words and fails the base; a null
-stratum is the stratum ''; null labels are not counted; strata beyond the
-``MAX_STRATA`` largest share one.
+stratum is the stratum ''; null labels are not counted.
 """
 
 from __future__ import annotations
@@ -36,7 +37,6 @@ from deliverylens.session import run_dir
 ship(__name__)
 
 RISK, ERROR = 0.05, 0.05
-MAX_STRATA = 50
 MIN_WORDS, REPEAT_SHARE = 50, 50  # the base: fewer words, or a larger share (percent) of repeated ones, fails
 #: Grid of every rule, strictest first; statistics are shares of words, characters or lines.
 GRID = [round(x, 3) for x in np.linspace(0.01, 1.0, 100)]
@@ -128,9 +128,9 @@ def upper_bound(k: int, n: int, error: float) -> float:
     return high
 
 
-def choose(counts: dict[tuple[str, str], tuple[np.ndarray, np.ndarray]], strata: int, risk: float = RISK, error: float = ERROR) -> dict[tuple[str, str], float]:
+def choose(counts: dict[tuple[str, str], tuple[np.ndarray, np.ndarray]], strata: int, risk: float = RISK, error: float = ERROR, n_rules: int | None = None) -> dict[tuple[str, str], float]:
     """Cutoffs by stratum and rule; ``counts`` are good and bad documents by grid step (statistic <= step)."""
-    n_rules = len({r for _, r in counts})
+    n_rules = n_rules or len({r for _, r in counts})
     out = {}
     for (stratum, rule), (good, bad) in sorted(counts.items()):
         n, limit, each = int(good.sum()), risk / max(n_rules, 1), error / max(1, strata * n_rules)
@@ -147,32 +147,44 @@ def choose(counts: dict[tuple[str, str], tuple[np.ndarray, np.ndarray]], strata:
     return out
 
 
+def chooser(strata: int, n_rules: int, risk: float, error: float):
+    """(s, rule, cut) of the strata and rules of a task, from counts by grid step; rows of one stratum and rule are in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, str], tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for s, rule, step, good, n in zip(*(batch.column(c).to_pylist() for c in ("s", "rule", "step", "good", "count"))):
+                of = counts.setdefault((s, rule), (np.zeros(len(GRID) + 1, np.int64), np.zeros(len(GRID) + 1, np.int64)))
+                of[0 if good == 1 else 1][step] += n
+        rows = [(s, r, GRID.index(cut)) for (s, r), cut in choose(counts, strata, risk, error, n_rules).items()]
+        if rows:
+            s, r, cut = zip(*rows)
+            yield pa.record_batch({"s": pa.array(s, pa.string()), "rule": pa.array(r, pa.string()), "cut": pa.array(cut, pa.int32())})
+
+    return run
+
+
 def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", stratum: str = "lang", id_column: str = "doc_id", text_column: str = "text", risk: float = RISK, error: float = ERROR) -> DataFrame:
     """Columns of the documents in ``rest``, their counts, base_failed, stratum, failed_rules and kept."""
     spark = docs.sparkSession
     path = run_dir(spark, "statistics")
     statistics(docs, text_column).write.parquet(path)
     made = spark.read.parquet(path).withColumn("s", F.coalesce(F.col(f"rest.`{stratum}`").cast("string"), F.lit("")))
-    largest = [r["s"] for r in made.groupBy("s").count().orderBy(F.desc("count"), "s").limit(MAX_STRATA).collect()]
-    made = made.withColumn("stratum", F.when(F.col("s").isin(largest), F.col("s")).otherwise(F.lit("(other)")))
     stats = rules()
     known = labels.where(F.col(label).isNotNull()).select(F.col(id_column).alias("labelled"), F.col(label).cast("int").alias("good"))
     tested = made.where(~base_failed()).join(known, F.col(f"rest.`{id_column}`") == F.col("labelled"))
     # Step i holds statistics in (GRID[i - 1], GRID[i]]; the last has what lies above the grid.
     step = {r: F.least(F.greatest(F.ceil(F.round(s * 100, 6)) - 1, F.lit(0)), F.lit(len(GRID))).cast("int") for r, s in stats.items()}
-    long = tested.select("stratum", "good", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), s.alias("step")) for r, s in step.items()))).alias("x"))
-    counts: dict[tuple[str, str], tuple[np.ndarray, np.ndarray]] = {}
-    for r in long.groupBy("stratum", "x.rule", "x.step", "good").count().collect():
-        good, bad = counts.setdefault((r["stratum"], r["rule"]), (np.zeros(len(GRID) + 1, np.int64), np.zeros(len(GRID) + 1, np.int64)))
-        (good if r["good"] == 1 else bad)[r["step"]] += r["count"]
-    cutoffs = choose(counts, len({s for s, _ in counts}), risk, error)
-    fails = []
-    for rule in stats:
-        over = F.lit(False)
-        for (s, r), cut in cutoffs.items():
-            if r == rule:
-                over = over | ((F.col("stratum") == s) & (step[rule] > GRID.index(cut)))
-        fails.append(F.when(over, F.lit(rule)))
-    failed = F.array_compact(F.array(*fails))
+    long = tested.select("s", "good", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), s.alias("step")) for r, s in step.items()))).alias("x"))
+    counts = long.groupBy("s", "x.rule", "x.step", "good").count()
+    counted_at = run_dir(spark, "rule_counts")
+    counts.write.parquet(counted_at)
+    counts = spark.read.parquet(counted_at)
+    strata = counts.select("s").distinct().count()
+    chosen = counts.repartition("s", "rule").mapInArrow(chooser(strata, len(stats), risk, error), "s string, rule string, cut int")
+    cutoffs = chosen.groupBy("s").agg(*(F.max(F.when(F.col("rule") == r, F.col("cut"))).alias(f"cut_{r}") for r in stats))
+    made = made.join(cutoffs, "s", "left")
+    failed = F.array_compact(F.array(*(F.when(step[r] > F.col(f"cut_{r}"), F.lit(r)) for r in stats)))
     judged = made.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("s")
+    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    return judged.select("rest", *COUNTS, F.col("s").alias("stratum"), "base_failed", "failed_rules", "kept")

@@ -305,6 +305,21 @@ def test_cutoffs_respect_the_risk():
     assert quality_rules.choose({("en", "symbols"): (good // 2000, bad)}, 1) == {}
 
 
+def test_every_stratum_gets_its_own_cutoffs(spark):
+    plain, marked = (" ".join(f"word{i}{end}" for i in range(60)) for end in ("", "!!"))
+    rows, labels, i = [], [], 0
+    for stratum in range(60):  # what is good in the last stratum is bad in the others
+        for good in [1] * (1000 if stratum > 50 else 1100) + [0] * 20:
+            rows.append((i, marked if (stratum == 59) == bool(good) else plain, f"l{stratum:02}"))
+            labels.append((i, good))
+            i += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = quality_rules.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int"), error=0.9, risk=0.5)
+    lost = {r["stratum"]: r for r in judged.groupBy("stratum").agg(F.sum((~F.col("kept")).cast("int")).alias("n"), F.count("*").alias("all")).collect()}
+    assert len(lost) == 60 and sum(r["all"] for r in lost.values()) == i
+    assert lost["l59"]["n"] == 0 and all(lost[f"l{s:02}"]["n"] == 20 for s in range(59))
+
+
 def test_url_filter_matches_duckdb(spark, con):
     assert differences(QUERIES["op8_url_filter"](spark, SF_DIR), con, ORACLES["op8_url_filter"]) == []
 
