@@ -384,6 +384,14 @@ def test_pfair_places_every_row_once(docs, empty):
     assert pfair_mix.mix(empty).count() == 0
 
 
+def test_pfair_collects_no_row_per_source(docs, monkeypatch):
+    kind, sizes = type(docs), []
+    plain = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: sizes.append(len(got := plain(self))) or got)
+    pfair_mix.mix(docs.withColumn("source", F.col("doc_id").cast("string")), block=4).count()
+    assert max(sizes, default=0) <= 1
+
+
 def test_toxicity_on_held_out_rows(spark):
     data = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
