@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deliverylens.llm import byte_bpe, lm_contrast, near_dedup, pfair_mix, quality_fm, quality_rules, quartile_digest, suffix_dedup, toxicity, url_filter
+from deliverylens.llm import byte_bpe, lm_contrast, merkle, near_dedup, pfair_mix, quality_fm, quality_rules, quartile_digest, suffix_dedup, toxicity, trie_bpe, url_filter
 
 QUALITY_CUT = 0.7
 TARGET_SOURCES = ("src1", "src2")
@@ -14,6 +14,7 @@ TOXIC_CUT = 0.5
 #: Labels of hosts whose pages make the list of operator 8.
 LISTED_LABELS = ("adult-x", "casino-win", "free-bets", "spam-farm")
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+WORD_FILE = "word_bpe_49k.json"
 
 
 def checksum(parts: int) -> Column:
@@ -105,6 +106,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its row still folds to the root after a third of the texts is lower-cased."""
+    changed = (checksum(3) == 0) & F.col("text").isNotNull()
+    made = merkle.manifest(documents(spark, sf_dir), url_filter.lower_ascii(F.col("text")), changed)
+    return made.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of the text they decode to."""
+    out = trie_bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path(WORD_FILE))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return out.select("rest.doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -116,6 +131,8 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_toxicity": op10_toxicity,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_word_bpe": op13_word_bpe,
 }
 
 _URL_PARTS = """
