@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deliverylens.llm import byte_bpe, lm_contrast, merkle, near_dedup, pfair_mix, quality_fm, quality_rules, quartile_digest, suffix_dedup, toxicity, trie_bpe, url_filter
+from deliverylens.llm import burst_trie, byte_bpe, lm_contrast, merkle, near_dedup, pfair_mix, quality_fm, quality_rules, quartile_digest, suffix_dedup, toxicity, trie_bpe, url_filter
 
 QUALITY_CUT = 0.7
 TARGET_SOURCES = ("src1", "src2")
@@ -106,6 +106,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return burst_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether its row still folds to the root after a third of the texts is lower-cased."""
     changed = (checksum(3) == 0) & F.col("text").isNotNull()
@@ -131,6 +136,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_word_bpe": op13_word_bpe,
 }

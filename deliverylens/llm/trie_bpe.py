@@ -33,6 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from deliverylens.llm.common import ship, small_batches
@@ -317,4 +318,5 @@ def encode_decode(docs: DataFrame, path: str, text_column: str = "text") -> Data
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_column]
     rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
     rows = docs.select(rest.alias("rest"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    return rows.mapInArrow(tokenizer(path), f"rest {rows.schema['rest'].dataType.simpleString()}, ids binary, decoded string")
+    schema = StructType([rows.schema["rest"], StructField("ids", BinaryType()), StructField("decoded", StringType())])
+    return rows.mapInArrow(tokenizer(path), schema)
