@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.functions.jsonlog import is_error_status, is_object, safe_float, safe_int, text_field
-from deliverylens.operators.ranks import exact_quantiles
+from deliverylens.operators.quantiles import column_quantiles
 from deliverylens.sources.logs import LogScan
 
 SCORING_PATHS = ("/predict", "/predict/batch")
@@ -79,7 +79,7 @@ def prediction_totals() -> tuple[Column, ...]:
 def request_metrics(events: DataFrame) -> DataFrame:
     """Counts, error rate and latency figures in one row; p95 is exact."""
     totals = events.agg(*request_totals())
-    p95 = exact_quantiles(events, [], "latency_ms", {"p95": 0.95}).agg(F.max("p95"))
+    p95 = column_quantiles(events, ["latency_ms"], {"p95": 0.95}).agg(F.max("p95"))
     return totals.select(
         "request_count",
         "error_count",

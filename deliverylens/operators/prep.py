@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from deliverylens.errors import ScoringError
 from deliverylens.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from deliverylens.operators.profile import aggregate_each, long_values, value_counts
-from deliverylens.operators.ranks import exact_quantiles
+from deliverylens.operators.quantiles import column_quantiles
 
 MISSING_CATEGORY = "__MISSING__"
 INFREQUENT = "infrequent_sklearn"
@@ -106,7 +106,7 @@ def fit_imputer(train: DataFrame, features: Sequence[str] = NUMERIC_FEATURES) ->
     """Exact median and number of missing values per feature."""
     numbers = train.select(*[_number(c).alias(c) for c in features])
     missing = aggregate_each(numbers, features, lambda c: {"missing_count": F.count_if(F.col(c).isNull())})
-    medians = exact_quantiles(long_values(numbers, features), ["feature"], "value", {"median": 0.5})
+    medians = column_quantiles(numbers, features, {"median": 0.5})
     return missing.join(medians, "feature", "left").select("feature", "median", "missing_count")
 
 

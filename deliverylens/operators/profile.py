@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from deliverylens.functions import stats
 from deliverylens.functions.dates import WEEKDAYS
 from deliverylens.functions.text import normalized, to_number
-from deliverylens.operators.ranks import exact_quantiles
+from deliverylens.operators.quantiles import column_quantiles
 
 # Columns of the numeric, categorical and chart summaries.
 NUMERIC_COLUMNS = (
@@ -182,8 +182,20 @@ def crosstab_pct(df: DataFrame, dimension: str, label: str = "is_late") -> DataF
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum."""
+def quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quartiles per group and column, which several summaries of the same rows may share."""
+    return column_quantiles(df, columns, QUARTILES, by)
+
+
+def _shared(found: DataFrame | None, df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    if found is None:
+        return quartiles(df, columns, by)
+    return found.where(F.col("feature").isin(list(columns)))
+
+
+def describe(df: DataFrame, columns: Sequence[str], found: DataFrame | None = None) -> DataFrame:
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum; ``found`` holds quartiles made before."""
+
     def measures(c: str) -> dict[str, Column]:
         x = F.col(c).cast("double")
         return {
@@ -195,18 +207,17 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         }
 
     moments = aggregate_each(df, columns, measures)
-    quartiles = exact_quantiles(long_values(df, columns), ["feature"], "value", QUARTILES)
-    return moments.join(quartiles, "feature", "left").select(
+    return moments.join(_shared(found, df, columns), "feature", "left").select(
         "feature", "count", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 
 
-def class_means_medians(df: DataFrame, columns: Sequence[str], label: str = "is_late") -> DataFrame:
+def class_means_medians(df: DataFrame, columns: Sequence[str], label: str = "is_late", found: DataFrame | None = None) -> DataFrame:
     """Count, mean and exact median per class and column."""
     means = aggregate_each(
         df, columns, lambda c: {"count": F.count(c), "mean": F.avg(F.col(c).cast("double"))}, by=[label]
     )
-    medians = exact_quantiles(long_values(df, columns, [label]), ["feature", label], "value", {"median": 0.5})
+    medians = column_quantiles(df, columns, {"median": 0.5}, [label]) if found is None else found
     return means.join(medians, ["feature", label], "left").select("feature", label, "count", "mean", "median")
 
 
@@ -234,11 +245,10 @@ def skew_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _bounds(df: DataFrame, columns: Sequence[str], by: Sequence[str], found: DataFrame | None) -> DataFrame:
     """Quartiles and 1.5-IQR bounds, one row per group and column."""
-    quartiles = exact_quantiles(long_values(df, columns, by), ["feature", *by], "value", QUARTILES)
     iqr = F.col("q3") - F.col("q1")
-    return quartiles.select(
+    return _shared(found, df, columns, by).select(
         "feature",
         *by,
         *QUARTILES,
@@ -248,29 +258,30 @@ def _bounds(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFra
     )
 
 
-def outlier_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def outlier_summary(df: DataFrame, columns: Sequence[str], found: DataFrame | None = None) -> DataFrame:
     """Values outside the 1.5-IQR bounds per column.
 
-    The second pass joins the bounds (one row per column) to counted values.
+    The second pass meets the bounds (one row per column) inside each task.
     """
-    bounds = _bounds(df, columns, [])
-    counts = long_values(df, columns).filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    bounds = _bounds(df, columns, [], found)
     outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     keys = ("feature", "q1", "q3", "iqr", "lower_bound", "upper_bound")
     return (
-        counts.join(F.broadcast(bounds), "feature")
+        long_values(df, columns)
+        .filter(F.col("value").isNotNull())
+        .join(F.broadcast(bounds), "feature")
         .groupBy(*keys)
-        .agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outlier_count"), F.sum("n").alias("_n"))
+        .agg(F.count_if(outside).alias("outlier_count"), F.count(F.lit(1)).alias("_n"))
         .select(*keys, "outlier_count", (F.col("outlier_count") / F.col("_n") * 100).alias("outlier_pct"))
     )
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], label: str = "is_late") -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str], label: str = "is_late", found: DataFrame | None = None) -> DataFrame:
     """Quartiles and whiskers per class; whiskers end at the last value inside the bounds.
 
     The broadcast bounds have one row per class and column.
     """
-    bounds = _bounds(df, columns, [label])
+    bounds = _bounds(df, columns, [label], found)
     inside = (F.col("value") >= F.col("lower_bound")) & (F.col("value") <= F.col("upper_bound"))
     whiskers = (
         long_values(df, columns, [label])

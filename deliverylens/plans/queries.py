@@ -550,7 +550,7 @@ def _(st):
 
 @query("a10_describe_numeric")
 def _(st):
-    return profile.describe(st.train(), profile.NUMERIC_COLUMNS)
+    return profile.describe(st.train(), profile.NUMERIC_COLUMNS, st.quartiles())
 
 
 @query("a10_describe_durations")
@@ -570,7 +570,7 @@ def _(st):
 
 @query("a11_class_means_medians")
 def _(st):
-    return profile.class_means_medians(st.train(), profile.NUMERIC_COLUMNS)
+    return profile.class_means_medians(st.train(), profile.NUMERIC_COLUMNS, found=st.quartiles(by_class=True))
 
 
 @query("a11_distance_by_class")
@@ -590,7 +590,7 @@ def _(st):
 
 @query("a14_outlier_summary")
 def _(st):
-    return profile.outlier_summary(st.train(), profile.NUMERIC_COLUMNS)
+    return profile.outlier_summary(st.train(), profile.NUMERIC_COLUMNS, st.quartiles())
 
 
 @query("a15_target_correlation")
@@ -651,12 +651,12 @@ def _(st):
 
 @query("a23_histogram")
 def _(st):
-    return profile.histogram(_four_places(st.train()), profile.CHART_COLUMNS)
+    return profile.histogram(st.train(), profile.CHART_COLUMNS)
 
 
 @query("a24_box_stats")
 def _(st):
-    return profile.box_stats(_four_places(st.train()), profile.CHART_COLUMNS)
+    return profile.box_stats(st.train(), profile.CHART_COLUMNS, found=st.quartiles(by_class=True))
 
 
 @query("a26_split_summary")

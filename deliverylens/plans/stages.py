@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deliverylens.operators import metrics, model, prep, split
+from deliverylens.operators import metrics, model, prep, profile, split
 from deliverylens.operators.checks import stack
 from deliverylens.operators.features import engineer_features, profile_features, select_model_features
 from deliverylens.operators.labels import add_label, labelable
 from deliverylens.operators.mart import build_order_mart, parse_dates
-from deliverylens.session import run_dir
+from deliverylens.session import cut_lineage, run_dir
 from deliverylens.sources.bundle import Bundle
 from deliverylens.sources.fixtures import commerce_table, commerce_tables
 from deliverylens.sources.tables import write_checked
@@ -92,6 +92,15 @@ class Stages:
         """Training rows with the columns of the profile tables."""
         return profile_features(self.train())
 
+    def quartiles(self, by_class: bool = False) -> DataFrame:
+        """Quartiles of the numeric training columns, over all rows or per class, found once for all summaries."""
+        by = ["is_late"] if by_class else []
+
+        def build() -> DataFrame:
+            return cut_lineage(profile.quartiles(self.train(), profile.NUMERIC_COLUMNS, by))
+
+        return self._once(f"quartiles{by}", build)
+
     def engineered(self, name: str) -> DataFrame:
         """Model columns, key and label of one part."""
         return select_model_features(engineer_features(self.part(name)), keep=("order_id", "is_late"))

@@ -483,7 +483,7 @@ add(
     f"SELECT feature, count(value) AS raw_unique, count(DISTINCT lower(trim(value))) AS normalized_unique, "
     f"count(value) - count(DISTINCT lower(trim(value))) AS possible_format_duplicates FROM {VALUES} GROUP BY feature",
 )
-CHART_LONG = f"({long_form(ROUNDED_TRAIN, CHART_COLUMNS)})"
+CHART_LONG = f"({long_form('t_train', CHART_COLUMNS)})"
 add(
     "a23_histogram",
     f"""
@@ -496,7 +496,7 @@ GROUP BY l.feature, b.bin, low, width
 """,
     "bin_start bin_end",
 )
-CHART_CLASS = f"({long_form(ROUNDED_TRAIN, CHART_COLUMNS, 'is_late')})"
+CHART_CLASS = f"({long_form('t_train', CHART_COLUMNS, 'is_late')})"
 add(
     "a24_box_stats",
     f"""

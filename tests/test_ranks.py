@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deliverylens.operators.metrics import average_precision, best_threshold, evaluate, roc_auc
+from deliverylens.operators import quantiles
 from deliverylens.operators.ranks import exact_quantiles, rows_at, running_sums
 
 
@@ -79,3 +80,39 @@ def test_metrics_without_hits_are_zero(spark):
     df = spark.createDataFrame([(0.1, 1), (0.2, 0)], "s DOUBLE, y INT")
     row = evaluate(df, "s", "y", 0.9).first()
     assert (row["f1"], row["precision"], row["recall"], row["balanced_accuracy"]) == (0.0, 0.0, 0.0, 0.5)
+
+
+@pytest.fixture(scope="module")
+def wide():
+    rng = np.random.default_rng(7)
+    n = 20000
+    pdf = pd.DataFrame({"g": rng.choice(["hot", "hot", "hot", "a", "b", None], n), "x": np.where(rng.random(n) < 0.34, 5.0, np.round(rng.normal(3, 4, n), 2)), "y": rng.normal(0, 1, n), "same": 1.0, "k": rng.integers(0, 3, n).astype(float), "none": np.nan})
+    pdf.loc[rng.random(n) < 0.1, "x"] = np.nan
+    return pdf
+
+
+WANTED = {"p05": 0.05, "q1": 0.25, "median": 0.5, "p95": 0.95, "top": 1.0, "low": 0.0}
+
+
+@pytest.mark.parametrize("few, accuracy, rows", [(20000, 2000, 20000), (5, 50, 20000), (0, 20, 0)])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_column_quantiles_with_hot_values_and_several_rounds(spark, wide, monkeypatch, few, accuracy, rows, by):
+    for name, value in (("FEW", few), ("ACCURACY", accuracy), ("STATE_ROWS", rows)):
+        monkeypatch.setattr(quantiles, name, value)
+    columns = ["x", "y", "same", "k", "none"]
+    df = spark.createDataFrame(wide).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("x", "none")}).repartition(7)
+    got = {(r["feature"], r["g"] if by else 0): r for r in quantiles.column_quantiles(df, columns, WANTED, by).collect()}
+    groups = {0: wide} if not by else {g: wide[wide.g == g] if g else wide[wide.g.isna()] for g in ("hot", "a", "b", None)}
+    assert set(got) == {(c, g) for c in columns[:4] for g in groups}
+    for (c, g), row in got.items():
+        for name, p in WANTED.items():
+            assert row[name] == pytest.approx(np.quantile(groups[g][c].dropna(), p), abs=1e-12)
+    assert quantiles.column_quantiles(df.limit(0), columns, WANTED, by).count() == 0
+
+
+def test_column_quantiles_shuffle_combined_rows_only(spark, wide, capsys):
+    df = spark.createDataFrame(wide).select("x", "y", "k")
+    quantiles.column_quantiles(df, df.columns, {"median": 0.5}).explain()
+    lines = capsys.readouterr().out.splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert below and all("Aggregate(" in line for line in below)
