@@ -31,3 +31,7 @@ class ScoringError(DeliveryLensError):
 
 class OrderFileError(DeliveryLensError):
     """An order file cannot be read."""
+
+
+class FitError(DeliveryLensError):
+    """A model did not reach its optimum."""

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from deliverylens.errors import GrainError, LeakageError
+from deliverylens.session import cut_lineage
 
 # Candidate keys by table.
 CANDIDATE_KEYS = {
@@ -52,17 +53,40 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+#: Fingerprints that occur more than once up to which the rows that have them are found without moving the table.
+REPEATED = 500_000
+
+
+def fingerprint(df: DataFrame) -> list[Column]:
+    """Two hashes of a whole row, which equal rows share; nulls are told apart by their place."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    nulls = [c.isNull() for c in columns]
+    return [F.xxhash64(F.lit(seed), *columns, *nulls).alias(f"_h{seed}") for seed in (1, 2)]
+
+
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """Distinct whole rows that occur more than once, with their number ``_n``.
+
+    Rows are counted by 16 bytes first; only rows whose fingerprint came up again
+    are compared as a whole.
+    """
+    marks = ["_h1", "_h2"]
+    again = cut_lineage(df.select(*fingerprint(df)).groupBy(*marks).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select(*marks))
+    few = again.limit(REPEATED + 1).count() <= REPEATED
+    marked = df.select("*", *fingerprint(df)).join(F.broadcast(again) if few else again, marks, "left_semi")
+    return marked.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+
+
 def table_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns and later copies of whole rows, per table."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-        return copies.agg(
+        later = repeated_rows(df).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("later"))
+        return df.agg(
             F.lit(name).alias("table_name"),
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("rows"),
             F.lit(len(df.columns)).cast("bigint").alias("columns"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("full_row_duplicates"),
-        )
+        ).withColumn("full_row_duplicates", later.scalar())
 
     return stack([one(name, df) for name, df in tables.items()])
 

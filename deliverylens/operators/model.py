@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from deliverylens.errors import FitError
 from deliverylens.operators import metrics
 from deliverylens.operators.prep import Preprocessor, category_slots, numeric_columns
 
@@ -136,7 +137,8 @@ def fit_grid(
     """Fit all candidates together by Newton steps; one pass over the rows per step.
 
     The penalty is half the squared length of all coefficients, the intercept
-    included, against ``C`` times the weighted loss.
+    included, against ``C`` times the weighted loss. A candidate that is not at its
+    optimum after ``max_passes`` is an error, never a result.
     """
     rows = features.select(vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y"))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -170,7 +172,8 @@ def fit_grid(
                 break
     finally:
         rows.unpersist()
-    done |= points
+    if points:
+        raise FitError(f"{len(points)} of {len(grid)} candidates are not at their optimum after {max_passes} passes: {[grid[k] for k in points]}")
     return [
         LinearModel(tuple(done[k][:-1].tolist()), float(done[k][-1]), c, class_weight)
         for k, (c, class_weight) in enumerate(grid)

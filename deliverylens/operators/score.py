@@ -12,6 +12,7 @@ from deliverylens.errors import ScoringError
 from deliverylens.functions.text import finite
 from deliverylens.operators.features import engineer_features, prediction_input_columns, select_model_features
 from deliverylens.operators.model import class_probabilities
+from deliverylens.session import run_dir
 from deliverylens.sources.bundle import Bundle, is_threshold
 from deliverylens.sources.orders_file import (
     NUMBER_FIELDS,
@@ -19,7 +20,7 @@ from deliverylens.sources.orders_file import (
     TEXT_FIELDS,
     TIME_FIELDS,
     load_orders,
-    read_order_file,
+    read_order_text,
 )
 
 POSITIVE_CLASS = 1
@@ -109,20 +110,26 @@ def score_file(spark: SparkSession, source: str, target: str, bundle: Bundle) ->
 def score_and_log(spark: SparkSession, source: str, target: str, rejected: str, log: str, bundle: Bundle) -> DataFrame:
     """Score an order file as one job: predictions, rejected orders with reasons, log lines.
 
-    Every order of the file is in exactly one of ``target`` and ``rejected``.
-    The logged latency is that of the write, which is where Spark scores.
+    Every order of the file is in exactly one of ``target`` and ``rejected``, which
+    :func:`read_rejected` reads. The checked orders and the scored ones are written
+    once each, and all three results come from these, so a logged probability is the
+    one of the prediction. The logged latency is that of scoring the whole file.
     """
     from deliverylens.sources.logs import log_predictions
 
-    orders, misfit = read_order_file(spark, source)
-    misfit.write.mode("overwrite").json(rejected)
+    checked_path, scored_path = run_dir(spark, "checked"), run_dir(spark, "scored")
+    mark_contract(read_order_text(spark, source)).write.parquet(checked_path)
+    valid, bad = split_marked(spark.read.parquet(checked_path))
+    bad.write.mode("overwrite").json(rejected)
+    inputs = prediction_input_columns(valid.columns)
     start = perf_counter()
-    result = with_version(score_rows(orders, bundle), bundle)
-    write_predictions(result, target)
+    score_rows(valid, bundle, keep=inputs).write.parquet(scored_path)
     latency = (perf_counter() - start) * 1000
-    inputs = prediction_input_columns(orders.columns)
+    scored = spark.read.parquet(scored_path)
+    result = with_version(scored.select("order_id", "late_probability", "predicted_is_late"), bundle)
+    write_predictions(result, target)
     log_predictions(
-        score_rows(orders, bundle, keep=inputs),
+        scored,
         log,
         input_columns=inputs,
         latency_ms=latency,
@@ -133,6 +140,14 @@ def score_and_log(spark: SparkSession, source: str, target: str, rejected: str,
     return spark.read.schema(result.schema).json(target)
 
 
+REJECTED_SCHEMA = ", ".join(f"{c} STRING" for c in ORDER_FIELDS) + ", reasons ARRAY<STRING>"
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The rejected orders of :func:`score_and_log`, of which there may be none."""
+    return spark.read.schema(REJECTED_SCHEMA).json(path)
+
+
 # --- order-record contract -------------------------------------------------
 
 
@@ -154,15 +169,21 @@ def _reason(name: str) -> Column:
     return F.lit(None).cast("string")
 
 
-def check_contract(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split order records into typed valid rows and rejected rows with reasons.
+def mark_contract(orders: DataFrame) -> DataFrame:
+    """Order records with ``reasons``, empty for a valid one; a wrong column set is an error."""
+    wrong = contract_columns(orders.columns)
+    if wrong:
+        raise ScoringError("; ".join(wrong))
+    return _with_reasons(orders, orders.columns, F.array_compact(F.array(*[_reason(c) for c in ORDER_FIELDS])))
 
-    A wrong column set rejects the whole input; a bad value rejects its row.
-    """
-    reasons = contract_columns(orders.columns)
-    if reasons:
-        raise ScoringError("; ".join(reasons))
-    marked = orders.withColumn("reasons", F.array_compact(F.array(*[_reason(c) for c in ORDER_FIELDS])))
+
+def _with_reasons(orders: DataFrame, columns: Sequence[str], reasons: Column) -> DataFrame:
+    """A generator keeps filters on the reasons from being rewritten in terms of every field."""
+    return orders.select(*columns, F.inline(F.array(F.struct(reasons.alias("reasons")))))
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed valid rows, and the others as they are."""
     valid = marked.filter(F.size("reasons") == 0).select(
         F.col("order_id").cast("string").alias("order_id"),
         *[F.col(c).try_cast("double").alias(c) for c in NUMBER_FIELDS],
@@ -170,3 +191,31 @@ def check_contract(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
         *[F.col(c).try_cast("timestamp_ntz").alias(c) for c in TIME_FIELDS],
     )
     return valid, marked.filter(F.size("reasons") > 0)
+
+
+def check_contract(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split order records into typed valid rows and rejected rows with reasons.
+
+    A wrong column set rejects the whole input; a bad value rejects its row.
+    """
+    return split_marked(mark_contract(orders))
+
+
+def mark_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines of JSON, one order each, with every field as text, the ``line`` itself and ``reasons``.
+
+    A line must be an object with exactly the fields of the contract, in any order.
+    Blank lines are no records.
+    """
+    fields = F.from_json(column, "map<string,string>")
+    found = lines.where(F.trim(column) != "").select(F.col(column).alias("line"), fields.alias("_fields"))
+    given = F.map_keys("_fields")
+    found = found.withColumn("_given", F.coalesce(given, F.array().cast("array<string>")))
+    found = found.select("line", "_fields", "_given", *[F.try_element_at("_fields", F.lit(c)).alias(c) for c in ORDER_FIELDS])
+    missing = [F.when(~F.array_contains("_given", c), F.lit(f"missing field: {c}")) for c in ORDER_FIELDS]
+    values = [F.when(F.array_contains("_given", c), _reason(c)) for c in ORDER_FIELDS]
+    extra = F.transform(F.array_except("_given", F.array(*map(F.lit, ORDER_FIELDS))), lambda k: F.concat(F.lit("extra field: "), k))
+    twice = F.size("_given") > F.size(F.array_distinct("_given"))
+    reasons = F.concat(F.array_compact(F.array(F.when(twice, F.lit("repeated field")), *missing)), extra, F.array_compact(F.array(*values)))
+    reasons = F.when(F.col("_fields").isNull(), F.array(F.lit("no JSON object"))).otherwise(reasons)
+    return _with_reasons(found, ["line", *ORDER_FIELDS], reasons)

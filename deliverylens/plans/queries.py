@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.functions import dates, geo, jsonlog, text
@@ -154,7 +155,7 @@ def _prediction_input(st: Stages, name: str) -> DataFrame:
 @query("s7_order_file_scan")
 def _(st):
     path = run_dir(st.spark, "orders") + "/orders.csv"
-    _prediction_input(st, "test").write.option("header", True).csv(path)
+    _prediction_input(st, "all").write.option("header", True).csv(path)
     return orders_file.load_orders(st.spark, path)
 
 
@@ -197,7 +198,7 @@ def fixed_bundle(st: Stages) -> bundles.Bundle:
 @query("s9_prediction_log_sink")
 def _(st):
     b = fixed_bundle(st)
-    orders = _prediction_input(st, "test")
+    orders = _prediction_input(st, "all")
     path = run_dir(st.spark, "predictions")
     logs.log_predictions(
         score.score_rows(orders, b, keep=orders.columns),
@@ -224,7 +225,7 @@ def _(st):
 @query("s11_prediction_output")
 def _(st):
     b = fixed_bundle(st)
-    scored = score.with_version(score.score_rows(st.part("test"), b), b)
+    scored = score.with_version(score.score_rows(st.part("all"), b), b)
     path = score.write_predictions(scored, run_dir(st.spark, "scored"))
     return st.spark.read.schema(scored.schema).json(path)
 
@@ -242,7 +243,7 @@ def _(st):
     from pyspark.ml.functions import vector_to_array
 
     path = run_dir(st.spark, "matrix")
-    matrix.write_matrix(st.engineered("validation"), st.preprocessor(), path)
+    matrix.write_matrix(st.engineered("all"), st.preprocessor(), path)
     return matrix.read_matrix(st.spark, path).agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.size(vector_to_array("features"))).cast("bigint").alias("width"),
@@ -334,12 +335,12 @@ def _(st):
 
 @query("p1_model_features", 7)
 def _(st):
-    return feat.select_model_features(feat.engineer_features(st.train()), keep=["order_id"])
+    return feat.select_model_features(feat.engineer_features(st.labelled()), keep=["order_id"])
 
 
 @query("p2_prediction_input")
 def _(st):
-    return _prediction_input(st, "train")
+    return _prediction_input(st, "all")
 
 
 @query("p3_labelable")
@@ -368,8 +369,7 @@ def _(st):
 @query("p6_reshaped_columns")
 def _(st):
     return (
-        st.train()
-        .withColumn("split", F.lit("train"))
+        st.split_table()
         .withColumn("is_late", F.col("is_late").cast("int"))
         .withColumnRenamed("is_late", "actual_is_late")
         .select("order_id", "split", "actual_is_late", "delay_days")
@@ -992,7 +992,7 @@ def _(st):
 
 def _contract_input(st: Stages) -> DataFrame:
     """Order records as text, some of them with values that break the contract."""
-    rows = _prediction_input(st, "train")
+    rows = _prediction_input(st, "all")
     as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
     key = F.col("order_id").cast("bigint")
     return as_text.withColumns(
@@ -1028,7 +1028,7 @@ def _(st):
 def _(st):
     p = st.preprocessor()
     flags = [F.struct(F.lit(i.feature).alias("feature"), prep.indicator(i.feature).alias("missing")) for i in p.indicators]
-    return st.engineered("test").select("order_id", F.inline(F.array(*flags)))
+    return st.engineered("all").select("order_id", F.inline(F.array(*flags)))
 
 
 @query("m3_fit_scaler")
@@ -1040,7 +1040,7 @@ def _(st):
 
 @query("m4_fill_missing_category")
 def _(st):
-    return prep.fill_missing_category(st.engineered("test")).select("order_id", *feat.CATEGORICAL_FEATURES)
+    return prep.fill_missing_category(st.engineered("all")).select("order_id", *feat.CATEGORICAL_FEATURES)
 
 
 @query("m5_fit_categories")
@@ -1050,7 +1050,7 @@ def _(st):
 
 @query("m6_one_hot_categories")
 def _(st):
-    return prep.encoded_categories(st.engineered("test"), st.preprocessor(), ["order_id"])
+    return prep.encoded_categories(st.engineered("all"), st.preprocessor(), ["order_id"])
 
 
 @query("m7_feature_vectors")
@@ -1060,7 +1060,7 @@ def _(st):
     values = vector_to_array("features")
     head = len(st.preprocessor().numeric) + len(st.preprocessor().indicators)
     hot = F.slice(values, head + 1, F.size(values))
-    return st.features("test").select(
+    return st.features("all").select(
         "order_id",
         "is_late",
         F.size(values).alias("width"),
@@ -1072,14 +1072,14 @@ def _(st):
 @query("m8_apply_numeric")
 def _(st):
     p = replace(st.preprocessor(), indicators=())
-    return prep.apply_numeric(st.engineered("test"), p, ["order_id"]).withColumnsRenamed(
+    return prep.apply_numeric(st.engineered("all"), p, ["order_id"]).withColumnsRenamed(
         {f"numeric__{n}": n for n in feat.NUMERIC_FEATURES}
     )
 
 
 @query("m9_feature_report")
 def _(st):
-    rows = st.features("test")
+    rows = st.features("all")
     prep.check_features(rows, st.preprocessor())
     return prep.feature_report(rows, st.preprocessor())
 
@@ -1107,6 +1107,15 @@ def _(st):
     return st.spark.createDataFrame(rows, "position INT, feature STRING, coefficient DOUBLE")
 
 
+@query("e2_item_count_fits")
+def _(st):
+    """Fits of lateness by the number of items alone for three strengths of the penalty, on all training rows."""
+    rows = st.train().where(F.col("item_count").isNotNull()).select("order_id", "is_late", array_to_vector(F.array(F.col("item_count").cast("double"))).alias("features"))
+    models = model.fit_candidates(rows, [(c, None) for c in (0.001, 0.01, 1.0)])
+    found = [(m.c, m.intercept, m.coefficients[0]) for m in models]
+    return st.spark.createDataFrame(found, "c DOUBLE, intercept DOUBLE, item_count DOUBLE")
+
+
 @query("e2_tuning_table")
 def _(st):
     table = st.tuning().table
@@ -1188,7 +1197,7 @@ def _(st):
 def _(st):
     """The same scores from a model with its classes in the other order."""
     p = st.preprocessor()
-    rows = model.class_probabilities(st.engineered("test"), p, fixed_model(p)).select(
+    rows = model.class_probabilities(st.engineered("all"), p, fixed_model(p)).select(
         "order_id", F.array(F.col("probability")[1], F.col("probability")[0]).alias("probability")
     )
     score.check_probabilities(rows, "probability", (1, 0))
@@ -1212,7 +1221,7 @@ def _(st):
     event = jsonlog.text_field(F.col("record"), "$.event")
     sinks = {
         "scored": scored.agg(F.count(F.lit(1)).alias("rows")),
-        "rejected": st.spark.read.json(rejected).filter(F.array_contains("reasons", "item_count is no double")).agg(F.count(F.lit(1)).alias("rows")),
+        "rejected": score.read_rejected(st.spark, rejected).filter(F.array_contains("reasons", "item_count is not a number")).agg(F.count(F.lit(1)).alias("rows")),
         "logged": logs.read_jsonl(st.spark, log).records.agg(F.count_if(event == "prediction").alias("rows")),
     }
     return checks.stack([df.select(F.lit(name).alias("sink"), "rows") for name, df in sinks.items()])
@@ -1221,7 +1230,7 @@ def _(st):
 @query("e14_score_file")
 def _(st):
     source = run_dir(st.spark, "orders") + "/orders.csv"
-    _prediction_input(st, "test").write.option("header", True).csv(source)
+    _prediction_input(st, "all").write.option("header", True).csv(source)
     return score.score_file(st.spark, source, run_dir(st.spark, "scores"), fixed_bundle(st))
 
 
@@ -1302,14 +1311,49 @@ def _(st):
     )
 
 
+def _order_lines(st: Stages, path: str) -> None:
+    """All labelled orders as JSON Lines with fields in two orders; of every hundred, one line is no JSON, one lacks a field, one has a bad value, one a field too many."""
+    rows = st.labelled()
+    names = feat.prediction_input_columns(rows.columns)
+    kind = F.pmod("order_id", F.lit(100))
+    texts = {c: F.col(c).cast("string") for c in names}
+    keep_nulls = {"ignoreNullFields": "false"}
+
+    def line(fields: dict[str, Column]) -> Column:
+        return F.to_json(F.struct(*[x.alias(c) for c, x in fields.items()]), keep_nulls)
+
+    usual = line({c: F.col(c) for c in names})
+    turned = line({c: texts[c] for c in reversed(names)})
+    made = (
+        F.when(kind == 1, F.concat(F.lit("order "), texts["order_id"]))
+        .when(kind == 2, line({c: x for c, x in texts.items() if c != "item_count"}))
+        .when(kind == 3, line(texts | {"item_count": F.lit("much")}))
+        .when(kind == 4, line(texts | {"note": F.lit("x")}))
+        .when(kind == 5, line(texts | {"order_id": F.lit("")}))
+        .when(kind < 50, turned)
+        .otherwise(usual)
+    )
+    rows.select(made.alias("value")).write.text(path)
+
+
+def _streamed_lines(st: Stages) -> tuple[DataFrame, DataFrame]:
+    source, scored, rejected, state = (run_dir(st.spark, n) for n in ("lines", "scores", "rejected", "state"))
+    _order_lines(st, source)
+    lines = stream_scoring.read_order_lines(st.spark, source, files_per_batch=3)
+    stream_scoring.start_scoring_lines(lines, fixed_bundle(st), scored, rejected, state).awaitTermination()
+    return stream_scoring.scored_lines(st.spark, scored), stream_scoring.rejected_lines(st.spark, rejected)
+
+
 @query("b8_stream_scoring")
 def _(st):
-    """Test orders scored as a stream of files."""
-    source, out, state = (run_dir(st.spark, n) for n in ("orders", "scores", "state"))
-    orders = _prediction_input(st, "test")
-    types = dict(part.split(" ") for part in orders_file.ORDER_SCHEMA.split(", "))
-    orders.select(*[F.col(c).cast(types[c]).alias(c) for c in orders.columns]).write.parquet(source)
-    stream = stream_scoring.read_order_stream(st.spark, source, "parquet")
-    scored = stream_scoring.scored_stream(stream, fixed_bundle(st))
-    stream_scoring.start_scoring(scored, out, state).awaitTermination()
-    return st.spark.read.schema(scored.schema).parquet(out)
+    """The valid orders among all lines, scored as a stream of files in several batches."""
+    return _streamed_lines(st)[0].drop("batch")
+
+
+@query("b8_stream_rejected")
+def _(st):
+    """The other lines of that stream by reason, and the total of both sinks."""
+    scored, rejected = _streamed_lines(st)
+    why = rejected.groupBy(F.array_join("reasons", "; ").alias("reasons")).agg(F.count(F.lit(1)).alias("rows"))
+    whole = scored.select("batch").unionByName(rejected.select("batch")).agg(F.lit("all lines").alias("reasons"), F.count(F.lit(1)).alias("rows"))
+    return why.unionByName(whole)

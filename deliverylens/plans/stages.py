@@ -83,6 +83,9 @@ class Stages:
         return self.split_table().drop("split")
 
     def part(self, name: str) -> DataFrame:
+        """The labelled orders of one part of the split, or of ``all``."""
+        if name == "all":
+            return self.labelled()
         return self.split_table().filter(F.col("split") == name).drop("split")
 
     def train(self) -> DataFrame:

@@ -5,17 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from deliverylens.operators.score import check_contract, score_rows, with_version
+from deliverylens.operators.score import check_contract, mark_lines, score_rows, split_marked, with_version
 from deliverylens.sources.bundle import Bundle
-from deliverylens.sources.orders_file import ORDER_SCHEMA
+from deliverylens.sources.orders_file import ORDER_FIELDS, ORDER_SCHEMA
+
+_TEXT_SCHEMA = ", ".join(f"{c} STRING" for c in ORDER_FIELDS)
+SCORED_SCHEMA = "order_id STRING, late_probability DOUBLE, predicted_is_late INT, model_version STRING"
+REJECTED_SCHEMA = "line STRING, reasons ARRAY<STRING>"
 
 
 def read_order_stream(spark: SparkSession, path: str, file_format: str = "json", files_per_batch: int = 1000) -> DataFrame:
-    """Order records of new files in a folder (JSON Lines, CSV with header, or Parquet)."""
-    reader = spark.readStream.schema(ORDER_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+    """Order records of new files in a folder (JSON Lines, CSV with header, or Parquet).
+
+    Fields of text formats stay text, so that the contract sees a value that is no
+    number. A CSV file with another column order fails.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     if file_format == "csv":
-        reader = reader.option("header", True)
-    return reader.format(file_format).load(path)
+        reader = reader.option("header", True).option("enforceSchema", False)
+    return reader.schema(ORDER_SCHEMA if file_format == "parquet" else _TEXT_SCHEMA).format(file_format).load(path)
+
+
+def read_order_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """The lines of new JSON Lines files in a folder, as they are."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
 def scored_stream(orders: DataFrame, bundle: Bundle) -> DataFrame:
@@ -38,3 +51,32 @@ def start_scoring(scored: DataFrame, path: str, checkpoint: str) -> StreamingQue
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_scoring_lines(lines: DataFrame, bundle: Bundle, scored: str, rejected: str, checkpoint: str) -> StreamingQuery:
+    """Score lines as they arrive: every line that is not blank ends in exactly one of two folders.
+
+    A batch is checked and written once, and both sinks come from what was written.
+    Each batch has a folder of its own in both, which is replaced when the batch
+    runs again after a failure, so nothing is lost or doubled.
+    """
+    spark = lines.sparkSession
+    for path, schema in ((scored, SCORED_SCHEMA), (rejected, REJECTED_SCHEMA)):
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch=-1")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = f"{checkpoint}-checked"
+        mark_lines(batch).write.mode("overwrite").parquet(checked)
+        valid, bad = split_marked(batch.sparkSession.read.parquet(checked))
+        with_version(score_rows(valid, bundle), bundle).write.mode("overwrite").parquet(f"{scored}/batch={batch_id}")
+        bad.select("line", "reasons").write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
+
+    return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def scored_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{SCORED_SCHEMA}, batch BIGINT").parquet(path)
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{REJECTED_SCHEMA}, batch BIGINT").parquet(path)

@@ -89,7 +89,7 @@ def as_number(columns) -> str:
     )
 
 
-add("s7_order_file_scan", f"SELECT {as_number(INPUTS)} FROM t_split WHERE split = 'test'", INPUT_DOUBLES)
+add("s7_order_file_scan", f"SELECT {as_number(INPUTS)} FROM t_split", INPUT_DOUBLES)
 for log in ("request", "prediction"):
     add(
         f"s8_{log}_log_scan",
@@ -100,13 +100,13 @@ add(
     "s9_prediction_log_sink",
     """
 SELECT 'prediction_request' AS event, 1 AS lines, count(*) AS request_size, CAST(NULL AS BIGINT) AS late, CAST(NULL AS DOUBLE) AS mean_late_probability
-FROM t_scored WHERE split = 'test'
+FROM t_scored
 UNION ALL SELECT 'prediction', count(*), NULL, CAST(sum(CASE WHEN late_probability >= 0.25 THEN 1 ELSE 0 END) AS BIGINT), avg(late_probability)
-FROM t_scored WHERE split = 'test'
+FROM t_scored
 """,
     "mean_late_probability",
 )
-SCORED = "SELECT order_id, late_probability, CAST(late_probability >= 0.25 AS INTEGER) AS predicted_is_late FROM t_scored WHERE split = 'test'"
+SCORED = "SELECT order_id, late_probability, CAST(late_probability >= 0.25 AS INTEGER) AS predicted_is_late FROM t_scored"
 add("s11_prediction_output", f"SELECT *, 'fixed' AS model_version FROM ({SCORED})", "late_probability")
 add(
     "s12_bundle_roundtrip",
@@ -116,7 +116,7 @@ add(
 add(
     "s13_feature_matrix",
     """
-SELECT count(*) AS "rows", (SELECT count(*) FROM t_names) AS width, CAST(sum(is_late) AS BIGINT) AS late_orders FROM t_split WHERE split = 'validation'
+SELECT count(*) AS "rows", (SELECT count(*) FROM t_names) AS width, CAST(sum(is_late) AS BIGINT) AS late_orders FROM t_split
 """,
 )
 
@@ -226,11 +226,11 @@ FEATURE_DOUBLES = " ".join(
 )
 add(
     "p1_model_features",
-    f"SELECT order_id, {', '.join(NUMERIC_FEATURES + CATEGORICAL_FEATURES)} FROM t_engineered WHERE split = 'train'",
+    f"SELECT order_id, {', '.join(NUMERIC_FEATURES + CATEGORICAL_FEATURES)} FROM t_engineered",
     FEATURE_DOUBLES,
     7,
 )
-add("p2_prediction_input", f"SELECT {', '.join(INPUTS)} FROM t_train", INPUT_DOUBLES)
+add("p2_prediction_input", f"SELECT {', '.join(INPUTS)} FROM t_split", INPUT_DOUBLES)
 LABELABLE = "order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL AND order_estimated_delivery_date IS NOT NULL"
 add("p3_labelable", f"SELECT * FROM m_orders WHERE {LABELABLE}")
 add(
@@ -248,7 +248,7 @@ add(
     "p5_comment_flag",
     "SELECT review_id, CASE WHEN review_comment_message IS NOT NULL THEN 1 ELSE 0 END AS has_review_comment FROM m_order_reviews",
 )
-add("p6_reshaped_columns", "SELECT order_id, 'train' AS split, CAST(is_late AS INTEGER) AS actual_is_late FROM t_train")
+add("p6_reshaped_columns", "SELECT order_id, split, CAST(is_late AS INTEGER) AS actual_is_late FROM t_split")
 add("p7_scoring_requests", "SELECT * FROM t_requests", "latency_ms")
 add("p7_predictions", "SELECT * FROM t_predictions", "late_probability")
 add(
@@ -712,7 +712,7 @@ add(
 )
 add(
     "d11_contract_valid",
-    "SELECT CAST(order_id AS VARCHAR) AS order_id, payment_total, customer_state, order_approved_at FROM t_train "
+    "SELECT CAST(order_id AS VARCHAR) AS order_id, payment_total, customer_state, order_approved_at FROM t_split "
     "WHERE order_id % 11 <> 0 AND order_id % 13 <> 0 AND order_id % 17 <> 0",
     "payment_total",
 )
@@ -721,7 +721,7 @@ add(
     """
 SELECT reasons, count(*) AS "rows" FROM (SELECT concat_ws('; ', CASE WHEN order_id % 17 = 0 THEN 'order_id is empty' END,
  CASE WHEN order_id % 11 = 0 THEN 'payment_total is not a number' END, CASE WHEN order_id % 13 = 0 THEN 'order_approved_at is not a timestamp' END) AS reasons
-FROM t_train) WHERE reasons <> '' GROUP BY reasons
+FROM t_split) WHERE reasons <> '' GROUP BY reasons
 """,
 )
 
@@ -730,22 +730,22 @@ add("m1_fit_imputer", "SELECT feature, median, missing_count FROM t_imputer", "m
 add(
     "m2_missing_indicators",
     "SELECT n.order_id, n.feature, CASE WHEN n.value IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS missing FROM t_numbers n JOIN t_imputer i ON n.feature = i.feature "
-    "WHERE i.missing_count > 0 AND n.split = 'test'",
+    "WHERE i.missing_count > 0",
 )
 add("m3_fit_scaler", 'SELECT feature, "mean", variance, n AS "rows" FROM t_scaler', "mean variance", 4)
 add(
     "m4_fill_missing_category",
-    "SELECT order_id, " + ", ".join(f"coalesce({c}, '__MISSING__') AS {c}" for c in CATEGORICAL_FEATURES) + " FROM t_engineered WHERE split = 'test'",
+    "SELECT order_id, " + ", ".join(f"coalesce({c}, '__MISSING__') AS {c}" for c in CATEGORICAL_FEATURES) + " FROM t_engineered",
 )
 add("m5_fit_categories", "SELECT feature, category, n, n >= 50 AS kept FROM t_category_counts")
-add("m6_one_hot_categories", "SELECT order_id, feature, category FROM t_encoded WHERE split = 'test'")
+add("m6_one_hot_categories", "SELECT order_id, feature, category FROM t_encoded")
 add(
     "m7_feature_vectors",
     """
 SELECT o.order_id, o.is_late, CAST((SELECT count(*) FROM t_names) AS INTEGER) AS width, n.total AS numeric_sum, h.hot AS hot_slots
-FROM (SELECT order_id, is_late FROM t_split WHERE split = 'test') o
-JOIN (SELECT i.order_id, sum((i.x - s.mean) / s.scale) AS total FROM t_inputs i JOIN t_scaler s ON i.feature = s.feature WHERE i.split = 'test' GROUP BY i.order_id) n ON o.order_id = n.order_id
-JOIN (SELECT order_id, CAST(count(position) AS DOUBLE) AS hot FROM t_encoded WHERE split = 'test' GROUP BY order_id) h ON o.order_id = h.order_id
+FROM (SELECT order_id, is_late FROM t_split) o
+JOIN (SELECT i.order_id, sum((i.x - s.mean) / s.scale) AS total FROM t_inputs i JOIN t_scaler s ON i.feature = s.feature GROUP BY i.order_id) n ON o.order_id = n.order_id
+JOIN (SELECT order_id, CAST(count(position) AS DOUBLE) AS hot FROM t_encoded GROUP BY order_id) h ON o.order_id = h.order_id
 """,
     "numeric_sum",
 )
@@ -753,10 +753,10 @@ add(
     "m8_apply_numeric",
     "SELECT order_id, "
     + ", ".join(f"max(z) FILTER (feature = '{c}') AS {c}" for c in NUMERIC_FEATURES)
-    + " FROM (SELECT i.order_id, i.feature, (i.x - s.mean) / s.scale AS z FROM t_inputs i JOIN t_scaler s ON i.feature = s.feature WHERE i.split = 'test') GROUP BY order_id",
+    + " FROM (SELECT i.order_id, i.feature, (i.x - s.mean) / s.scale AS z FROM t_inputs i JOIN t_scaler s ON i.feature = s.feature) GROUP BY order_id",
     " ".join(NUMERIC_FEATURES),
 )
-add("m9_feature_report", "SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS wrong_width, CAST(0 AS BIGINT) AS not_finite FROM t_split WHERE split = 'test'")
+add("m9_feature_report", "SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS wrong_width, CAST(0 AS BIGINT) AS not_finite FROM t_split")
 
 # Model and metrics.
 add("e1_prior_model", "SELECT order_id, (SELECT avg(is_late) FROM t_train) AS score FROM t_split WHERE split = 'validation'", "score")
@@ -815,7 +815,25 @@ add(
     union(f"SELECT section || '_{m}' AS name, \"{m}\" AS value FROM ({COMPARISON}) WHERE model = 'fixed'" for m in METRIC_NAMES),
     "value",
 )
-add("e11_score_orders", SCORED, "late_probability")
+add("e11_score_orders", SCORED + " WHERE split = 'test'", "late_probability")
+# Newton steps on counted rows, all strengths at once; the penalty holds the intercept too.
+add(
+    "e2_item_count_fits",
+    """
+WITH RECURSIVE d AS MATERIALIZED (SELECT item_count::DOUBLE AS x, is_late::DOUBLE AS y, count(*)::DOUBLE AS n FROM t_train WHERE item_count IS NOT NULL GROUP BY ALL),
+fit(k, c, a, b) AS (
+ SELECT 0, c, 0.0::DOUBLE, 0.0::DOUBLE FROM (VALUES (0.001::DOUBLE), (0.01::DOUBLE), (1.0::DOUBLE)) v(c)
+ UNION ALL
+ SELECT k + 1, c, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+ FROM (SELECT k, c, a, b, a + c * sum(n * (p - y)) AS ga, b + c * sum(n * (p - y) * x) AS gb, 1 + c * sum(n * p * (1 - p)) AS haa,
+        c * sum(n * p * (1 - p) * x) AS hab, 1 + c * sum(n * p * (1 - p) * x * x) AS hbb
+       FROM (SELECT k, c, a, b, x, y, n, 1 / (1 + exp(-(a + b * x))) AS p FROM fit CROSS JOIN d) GROUP BY k, c, a, b)
+ WHERE k < 30
+)
+SELECT c, a AS intercept, b AS item_count FROM fit WHERE k = 30
+""",
+    "intercept item_count",
+)
 add("e12_positive_probability", f"SELECT order_id, late_probability FROM ({SCORED})", "late_probability")
 add("e13_apply_threshold", "SELECT order_id, CAST(score >= 0.5::DOUBLE AS INTEGER) AS predicted_is_late FROM t_tied")
 TEXT_ID = f"SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id), 'fixed' AS model_version FROM ({SCORED})"
@@ -874,4 +892,15 @@ GROUP BY window_start
 """,
     "predicted_late_rate mean_late_probability",
 )
-ORACLES["b8_stream_scoring"] = ORACLES["e14_score_file"]
+add(
+    "b8_stream_scoring",
+    "SELECT CAST(order_id AS VARCHAR) AS order_id, late_probability, CAST(late_probability >= 0.25 AS INTEGER) AS predicted_is_late, 'fixed' AS model_version "
+    "FROM t_scored WHERE order_id % 100 NOT IN (1, 2, 3, 4, 5)",
+    "late_probability",
+)
+_kinds = {1: "no JSON object", 2: "missing field: item_count", 3: "item_count is not a number", 4: "extra field: note", 5: "order_id is empty"}
+add(
+    "b8_stream_rejected",
+    union(f"SELECT '{why}' AS reasons, count(*) AS \"rows\" FROM t_split WHERE order_id % 100 = {k} HAVING count(*) > 0" for k, why in _kinds.items())
+    + " UNION ALL SELECT 'all lines', count(*) FROM t_split",
+)

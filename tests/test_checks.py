@@ -90,3 +90,13 @@ def test_missing_tables(spark):
     spark.range(1).createOrReplaceTempView("present_table")
     assert "present_table" in {r[0] for r in available_tables(spark).collect()}
     assert [r[0] for r in missing_tables(spark, ["present_table", "no_such_table"]).collect()] == ["no_such_table"]
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_whole_rows_are_compared_by_fingerprint_first(spark, monkeypatch, few):
+    monkeypatch.setattr(checks, "REPEATED", few)
+    rows = [(1, "a", 0.0), (1, "a", -0.0), (1, None, 0.0), (None, "a", 0.0), (1, "a", None)] + [(2, None, 1.0)] * 3 + [(i, "x", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "`a.b` int, b string, c double")
+    assert sorted((r[0], r["_n"]) for r in checks.repeated_rows(df).collect()) == [(1, 2), (2, 3)]
+    found = checks.table_overview({"t": df, "none": df.limit(0)}).collect()
+    assert {tuple(r) for r in found} == {("t", 58, 3, 3), ("none", 0, 3, 0)}

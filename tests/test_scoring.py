@@ -193,3 +193,8 @@ def test_too_few_predictions_and_bad_lines(spark, tmp_path):
     none = monitor.monitoring_summary(empty, empty).first()
     assert none["requests"]["request_count"] == 0 and none["requests"]["error_rate"] == 0.0
     assert none["requests"]["p95_latency_ms"] is None and none["predictions"]["predicted_late_rate"] is None
+
+
+def test_a_fit_that_does_not_reach_its_optimum_is_an_error(stages):
+    with pytest.raises(FitError, match="2 of 2 candidates"):
+        model.fit_grid(stages.features("validation"), [(1.0, None), (0.01, None)], max_passes=2)
