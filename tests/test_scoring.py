@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from deliverylens.errors import BundleError, OrderFileError, ScoringError
+from deliverylens.errors import BundleError, FitError, OrderFileError, ScoringError
 from deliverylens.operators import model, monitor, prep, score
 from deliverylens.plans.queries import fixed_bundle
 from deliverylens.sources import bundle as bundles
