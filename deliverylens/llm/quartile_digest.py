@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructType
 
 from deliverylens.llm.common import as_bytes, parts_for, ship, small_batches, text_size
 from deliverylens.session import run_dir
@@ -82,7 +83,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-DIGEST_FIELDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+DIGEST_FIELDS = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compared(text: bytes, own: str, following: bytes, next_print: str) -> tuple:
@@ -93,9 +94,10 @@ def compared(text: bytes, own: str, following: bytes, next_print: str) -> tuple:
 
 
 def digest_batch(rests: list, rows: list[tuple], extra: dict) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
     names = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
     columns = list(zip(*rows)) if rows else [()] * len(names)
+    columns = [[v if v is None else bytes.fromhex(v) for v in c] if k == pa.binary() else c for c, k in zip(columns, kinds)]
     return pa.record_batch({"rest": pa.array(rests), **{n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)}, **extra})
 
 
@@ -144,13 +146,14 @@ def edit_chain(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     spark = docs.sparkSession
     small_batches(spark)
     _, total = text_size(docs, text_column)
-    rows = docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), F.col(id_column).cast("long").alias("ord"), as_bytes(text_column).alias("bytes"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_column)).alias("rest"), F.col(id_column).cast("long").alias("ord"), as_bytes(text_column).alias("bytes"))
     order = F.col("ord").desc_nulls_last()
     dealt = rows.repartitionByRange(parts_for(spark, total), order).sortWithinPartitions(order, "bytes")
-    rest = rows.schema["rest"].dataType.simpleString()
     path = run_dir(spark, "digests")
-    fields = f"rest {rest}, {DIGEST_FIELDS}"
-    dealt.select("rest", "bytes").mapInArrow(neighbours, f"{fields}, part int, first binary, last binary").write.parquet(path)
+    found = StructType.fromDDL(DIGEST_FIELDS)
+    fields = StructType([rows.schema["rest"], *found])
+    whole = StructType([*fields, *StructType.fromDDL("part int, first binary, last binary")])
+    dealt.select("rest", "bytes").mapInArrow(neighbours, whole).write.parquet(path)
     made = spark.read.parquet(path)
     # One row for each range that has documents; the next range's first text follows, after the last the first.
     ends = made.where("part >= 0").select("rest", "part", "last")
@@ -159,4 +162,6 @@ def edit_chain(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     turn = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next_part int")
     pairs = ends.join(turn, "part").join(firsts.withColumnRenamed("part", "next_part"), "next_part")
     late = pairs.select("rest", "last", "following").mapInArrow(across, fields)
-    return made.where("part < 0").select("rest", *(f.split()[0] for f in DIGEST_FIELDS.split(", "))).union(late)
+    both = made.where("part < 0").select(*fields.names).union(late)
+    # Bytes are written, text is returned.
+    return both.select("rest", *(F.lower(F.hex(f.name)).alias(f.name) if f.dataType == BinaryType() else f.name for f in found))
