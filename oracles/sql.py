@@ -336,7 +336,7 @@ add(
     RATES,
 )
 add("a7_late_rate_by_state_all", rates("t_labelled", "customer_state"), RATES)
-MONTHS = rates("t_profile", "purchase_year_month", True, "HAVING count(order_id) >= 100")
+MONTHS = rates("t_profile", "purchase_year_month", True, "HAVING count(order_id) >= 10")
 ZIPS = rates("t_train", "customer_zip_code_prefix", False, "HAVING count(order_id) >= 50")
 add("a8_reliable_months", MONTHS, RATES)
 add("a8_reliable_zips", ZIPS, RATES)
