@@ -13,9 +13,10 @@ resemble the target.
 2. Keys that a sample shows to be frequent (``HOT`` at most) are counted exactly
    over all documents and go to all tasks, so no bucket gets a row for every
    document. ``HOT`` bounds what is broadcast, not what is counted.
-3. All other keys are sent, packed by document, to the bucket of the key. There
-   they are counted over all documents and each document gets its share of both
-   losses back; Spark adds these up. Nothing is dropped, merged or capped.
+3. All other keys are sent, packed by blocks of documents, to the bucket of the key.
+   There they are counted over all documents, and each packed row is answered by one
+   packed row with its documents' shares of both losses. The answers are dealt out
+   by block and added up. Nothing is dropped, merged or capped.
 
 Defined cases: null and empty texts have no tokens and a null score; a null mark
 of the target counts as background; rows with equal id and text share one
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,82 +143,89 @@ def losses(keys: np.ndarray, t: np.ndarray, b: np.ndarray, scale: float, words:
     return sign * np.log2(t + add), sign * np.log2(b * scale + add)
 
 
-ENTRY_SCHEMA = "bucket int, docs binary, sizes binary, pairs binary, times binary, marks binary"
+ENTRY_SCHEMA = "bucket int, block long, docs binary, tokens binary, bits binary, sizes binary, pairs binary, times binary, marks binary"
+ANSWER_SCHEMA = "block long, docs binary, tokens binary, bits binary"
 SHARE_SCHEMA = "key long, tokens long, target_bits double, background_bits double"
 
 
-def scored_entries(hot, n_buckets: int, scale: float, words: int, send: bool):
-    """What a task knows of its documents' losses (``send`` false), or the keys to look up by bucket."""
+def scored_entries(hot, n_buckets: int, scale: float, words: int):
+    """Packed rows of a block of documents: what the task knows of their losses, and by bucket the keys to look up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, hot_t, hot_b = hot.value
         ht, hb = losses(keys, hot_t, hot_b, scale, words)
         powers = Powers()
+        known: list[tuple[int, int, float, float]] = []
         rows: list[tuple[int, bool, np.ndarray, np.ndarray]] = []
         held = 0
 
         def packed() -> pa.RecordBatch:
-            size = np.array([len(r[2]) for r in rows])
-            pairs, times = np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows])
-            doc = np.repeat(np.arange(len(rows)), size)
-            bucket = (mix(pairs) % U64(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")  # by document and key already
-            pairs, times, doc, bucket = pairs[order], times[order], doc[order], bucket[order]
-            at = group_starts(bucket)
-            out: dict[str, list] = {c: [] for c in ("bucket", "docs", "sizes", "pairs", "times", "marks")}
-            ids, marks = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.uint8)
-            for a, z in zip(at, np.append(at[1:], len(bucket))):
-                first = group_starts(doc[a:z])
-                own = doc[a:z][first]
-                out["bucket"].append(int(bucket[a]))
-                out["docs"].append(ids[own].tobytes())
-                out["marks"].append(marks[own].tobytes())
-                out["sizes"].append(np.diff(np.append(first, z - a)).astype(np.uint32).tobytes())
-                out["pairs"].append(pairs[a:z].tobytes())
-                out["times"].append(times[a:z].astype(np.uint16).tobytes())
-            return pa.record_batch({c: pa.array(v, pa.int32() if c == "bucket" else pa.binary()) for c, v in out.items()})
+            ids, tokens, t, b = zip(*known)
+            block = ids[0]  # deals the answers out; the sums go by document
+            out: dict[str, list] = {c: [] for c in ("bucket", "docs", "tokens", "bits", "sizes", "pairs", "times", "marks")}
+
+            def add(**row) -> None:
+                for c, v in out.items():
+                    v.append(row.get(c))
+
+            add(bucket=block % n_buckets, docs=np.array(ids, np.int64).tobytes(), tokens=np.array(tokens, np.int64).tobytes(), bits=np.array([t, b]).tobytes())
+            if rows:
+                size = np.array([len(r[2]) for r in rows])
+                pairs, times = np.concatenate([r[2] for r in rows]), np.concatenate([r[3] for r in rows])
+                doc = np.repeat(np.arange(len(rows)), size)
+                bucket = (mix(pairs) % U64(n_buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")  # by document and key already
+                pairs, times, doc, bucket = pairs[order], times[order], doc[order], bucket[order]
+                at = group_starts(bucket)
+                ids, marks = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.uint8)
+                for a, z in zip(at, np.append(at[1:], len(bucket))):
+                    first = group_starts(doc[a:z])
+                    own = doc[a:z][first]
+                    sizes = np.diff(np.append(first, z - a)).astype(np.uint32)
+                    add(bucket=int(bucket[a]), docs=ids[own].tobytes(), sizes=sizes.tobytes(), pairs=pairs[a:z].tobytes(), times=times[a:z].astype(np.uint16).tobytes(), marks=marks[own].tobytes())
+            return pa.record_batch({"bucket": pa.array(out.pop("bucket"), pa.int32()), "block": pa.array(np.full(len(out["docs"]), block)), **{c: pa.array(v, pa.binary()) for c, v in out.items()}})
 
         for batch in batches:
-            shares = []
             for key, text, mark in zip(*(batch.column(c).to_pylist() for c in ("key", "bytes", "target"))):
                 context, pairs = keys_of(text, powers)
                 both = np.concatenate([context, pairs])
                 at, found = places(keys, both)
-                if send:
-                    rest = both[~found]
-                    while len(rest):
-                        part, rest = rest[:65535], rest[65535:]  # so that counts fit
-                        own, times = np.unique(part, return_counts=True)
-                        rows.append((key, bool(mark), own, times))
-                        held += len(own)
-                else:
-                    t, b = ht[at[found]].sum(), hb[at[found]].sum()
-                    shares.append((key, len(pairs), float(t), float(b)))
-            if not send:
-                k, n, t, b = zip(*shares) if shares else ((), (), (), ())
-                yield pa.record_batch({"key": pa.array(k, pa.int64()), "tokens": pa.array(n, pa.int64()), "target_bits": pa.array(t, pa.float64()), "background_bits": pa.array(b, pa.float64())})
-            elif held > FLUSH:
+                known.append((key, len(pairs), float(ht[at[found]].sum()), float(hb[at[found]].sum())))
+                rest = both[~found]
+                while len(rest):
+                    part, rest = rest[:65535], rest[65535:]  # so that counts fit
+                    own, times = np.unique(part, return_counts=True)
+                    rows.append((key, bool(mark), own, times))
+                    held += len(own)
+            if held > FLUSH:
                 yield packed()
+                known.clear()
                 rows.clear()
                 held = 0
-        if held:
+        if known:
             yield packed()
 
     return run
 
 
 def looked_up(scale: float, words: int):
-    """Losses of each document's keys in the buckets of a task, from counts over all documents."""
+    """One packed answer for each packed row: its documents' losses, from counts over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, list[np.ndarray]] = {c: [] for c in ("docs", "marks", "sizes", "pairs", "times")}
         kinds = {"docs": np.int64, "marks": np.uint8, "sizes": np.uint32, "pairs": U64, "times": np.uint16}
+        blocks: list[int] = []
         for batch in batches:
+            asks = batch.column("pairs").is_valid()
+            yield batch.filter(pc.invert(asks)).select(["block", "docs", "tokens", "bits"])
+            batch = batch.filter(asks)
+            blocks += batch.column("block").to_pylist()
             for c, kind in kinds.items():
                 got[c] += [np.frombuffer(x, kind) for x in batch.column(c).to_pylist()]
-        if not got["docs"]:
+        if not blocks:
             return
-        docs, marks, sizes, pairs, times = (np.concatenate(got[c]) for c in kinds)
+        docs = got["docs"]
+        marks, sizes, pairs, times = (np.concatenate(got.pop(c)) for c in ("marks", "sizes", "pairs", "times"))
         first = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))[:-1]])
         mark = np.repeat(marks, sizes).astype(np.int64)
         order = np.argsort(pairs, kind="stable")
@@ -229,20 +238,40 @@ def looked_up(scale: float, words: int):
         bits = np.empty((2, len(order)))
         bits[0, order], bits[1, order] = np.repeat(lt, size) * n, np.repeat(lb, size) * n
         total = np.add.reduceat(bits, first, axis=1)
-        key = np.argsort(docs, kind="stable")  # a document has a part in every bucket of this task
-        at = group_starts(docs[key])
-        yield pa.record_batch(
-            {
-                "key": pa.array(docs[key][at]),
-                "tokens": pa.array(np.zeros(len(at), np.int64)),
-                "target_bits": pa.array(np.add.reduceat(total[0][key], at)),
-                "background_bits": pa.array(np.add.reduceat(total[1][key], at)),
-            }
-        )
+        at = 0
+        for block, own in zip(blocks, docs):
+            answer = total[:, at : at + len(own)]
+            at += len(own)
+            yield pa.record_batch({"block": pa.array([block], pa.int64()), "docs": pa.array([own.tobytes()], pa.binary()), "tokens": pa.array([None], pa.binary()), "bits": pa.array([answer.tobytes()], pa.binary())})
 
     return run
 
 
+def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the answers to the blocks of a task, a row for each document."""
+    got: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def compact() -> tuple[np.ndarray, np.ndarray]:
+        docs, values = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got], axis=1)
+        order = np.argsort(docs, kind="stable")
+        start = group_starts(docs[order])
+        return docs[order][start], np.add.reduceat(values[:, order], start, axis=1)
+
+    for batch in batches:
+        for docs, tokens, bits in zip(*(batch.column(c).to_pylist() for c in ("docs", "tokens", "bits"))):
+            ids = np.frombuffer(docs, np.int64)
+            n = np.zeros(len(ids)) if tokens is None else np.frombuffer(tokens, np.int64).astype(float)
+            got.append((ids, np.vstack([n, np.frombuffer(bits, float).reshape(2, -1)])))
+            held += len(ids)
+            if held > FLUSH:
+                got = [compact()]
+                held = 0
+    if got:
+        docs, (n, t, b) = compact()
+        yield pa.record_batch({"key": pa.array(docs), "tokens": pa.array(n.astype(np.int64)), "target_bits": pa.array(t), "background_bits": pa.array(b)})
+
+
 def score(docs: DataFrame, target: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, tokens, target_bits, background_bits, score) per document; bits are means over the tokens."""
     spark = docs.sparkSession
@@ -268,11 +297,10 @@ def score(docs: DataFrame, target: Column, id_column: str = "doc_id", text_colum
 
     hot = sc.broadcast((wanted, sums[:, 0], sums[:, 1]))
     # Rows with equal id and text are one document below; their counts stay those of all rows.
-    entries = keyed.select("key", "bytes", "target")
-    own = entries.mapInArrow(scored_entries(hot, 1, scale, words, False), SHARE_SCHEMA)
-    sent = entries.mapInArrow(scored_entries(hot, 4 * n_parts, scale, words, True), ENTRY_SCHEMA)
-    shares = sent.repartition(n_parts, "bucket").mapInArrow(looked_up(scale, words), SHARE_SCHEMA)
-    sums = own.union(shares).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("tokens", "target_bits", "background_bits")))
+    entries = keyed.select("key", "bytes", "target").mapInArrow(scored_entries(hot, n_parts, scale, words), ENTRY_SCHEMA)
+    answers = entries.repartitionById(n_parts, F.col("bucket")).mapInArrow(looked_up(scale, words), ANSWER_SCHEMA)
+    shares = answers.repartition(n_parts, "block").mapInArrow(added_up, SHARE_SCHEMA)
+    sums = shares.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("tokens", "target_bits", "background_bits")))
     mean = {c: F.when(F.col("tokens") > 0, F.col(c) / F.col("tokens")).alias(c) for c in ("target_bits", "background_bits")}
     # Repeated rows add up alike in bits and tokens, so their means are those of one row.
     return keyed.select("id", "key").join(sums, "key").select(F.col("id").alias(id_column), "tokens", *mean.values(), (mean["target_bits"] - mean["background_bits"]).alias("score"))

@@ -63,7 +63,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-entropy difference of every document between a trusted source and the whole corpus."""
+    """Cross-entropy difference of every document between the trusted sources and all others."""
     docs = documents(spark, sf_dir)
     return lm_contrast.score(docs, F.col("source").isin(*TARGET_SOURCES))
 
