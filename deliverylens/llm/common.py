@@ -8,6 +8,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 U64 = np.uint64
 #: An odd multiplier and its inverse modulo 2**64, for prefix hashes.
@@ -48,6 +49,22 @@ def order_key(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def others(docs: DataFrame, text_column: str) -> Column:
+    """All columns but the text, as the struct ``rest``, which keeps them apart from an operator's own."""
+    found = [quoted(c) for c in docs.columns if c != text_column]
+    return (F.struct(*found) if found else F.struct(F.lit(None).cast("int").alias("none"))).alias("rest")
+
+
+def beside_rest(rows: DataFrame, fields: str) -> StructType:
+    """Schema of ``rest`` with an operator's own fields."""
+    return StructType([rows.schema["rest"], *StructType.fromDDL(fields)])
+
+
 def as_bytes(column: str = "text") -> Column:
     """A text's UTF-8 bytes; a null text has none."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

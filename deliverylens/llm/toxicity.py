@@ -3,7 +3,8 @@
 Both dictionaries share the commonest strings of ordinary text. The toxic one
 also holds strings that labelled toxic texts favour, the ordinary one those that
 ordinary texts favour (a two-sample z of document shares, strings of the start of
-a word up to the whole word). A window is one word with its delimiters: window
+a word up to the whole word). A window is one word with its delimiters, or one of
+the overlapping pieces of a word beyond ``PIECE`` bytes: window
 by window the text is compressed with either dictionary, and the bytes that the
 toxic one saves are the window's gain. The mean and the largest gain and the share
 of windows above a threshold are calibrated by a logistic fit on labelled rows.
@@ -13,8 +14,8 @@ label, drawn by a hash of the id; scoring reads every whole text in one pass
 without a shuffle. Words that return within a task are compressed once.
 
 Defined cases: null and empty texts have no window and get the score of no
-gain; null labels are not learned from; without rows of both labels all scores
-are 0.
+gain; null labels are not learned from; without documents of both labels all
+scores are 0; other columns of any name are carried in ``rest``.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import as_bytes, ship, small_batches
+from deliverylens.llm.common import as_bytes, beside_rest, others, ship, small_batches
+from deliverylens.session import run_dir
 
 ship(__name__)
 
@@ -38,6 +40,7 @@ MAX_LABELLED = 6000
 SEGMENT_BYTES = 3000  # of the strings that one class favours
 COMMON_BYTES = 8192
 LEAST_Z, LEAST_DOCS = 4.0, 3
+PIECE = 32  # bytes of a window at most; longer words are cut into pieces that overlap by half
 KNOWN_WORDS = 300_000  # gains a task remembers before it starts anew
 
 #: A word is a run of letters, digits and bytes beyond ASCII.
@@ -45,14 +48,21 @@ WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return WORD.findall(text.lower())
+    """The windows of a text; all of its words are in them."""
+    out = []
+    for w in WORD.findall(text.lower()):
+        if len(w) <= PIECE:
+            out.append(w)
+        else:
+            out += [w[i : i + PIECE] for i in range(0, len(w) - PIECE // 2, PIECE // 2)]
+    return out
 
 
 def strings(words: list[bytes]) -> set[bytes]:
     """Starts of the words, from four bytes on, with the delimiters."""
     out = set()
     for w in set(words):
-        x = b" " + w[:32] + b" "
+        x = b" " + w + b" "
         out.update(x[:k] for k in range(5, len(x) + 1))
     return out
 
@@ -103,8 +113,7 @@ class Gains:
             gain = len(self.ordinary.compress(window)) - len(self.toxic.compress(window))
             if len(self.known) >= KNOWN_WORDS:
                 self.known.clear()
-            if len(word) < 64:
-                self.known[word] = gain
+            self.known[word] = gain
         return gain
 
     def features(self, text: bytes) -> tuple[float, ...]:
@@ -163,6 +172,11 @@ class ToxicModel:
         self.toxic, self.ordinary, self.weights = toxic, ordinary, weights
 
 
+def untaught() -> ToxicModel:
+    """Scores everything 0, to twelve places."""
+    return ToxicModel(b"", b"", [-30.0] + [0.0] * 7)
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, max_labelled: int = MAX_LABELLED, id_column: str = "doc_id", text_column: str = "text") -> ToxicModel:
     known = labels.where(F.col(label).isin(0, 1) & (learn if learn is not None else F.lit(True))).select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label"))
     small_batches(docs.sparkSession)
@@ -172,11 +186,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Colum
     rows = docs.select(F.col(id_column).alias("id"), as_bytes(text_column).alias("bytes")).join(F.broadcast(picked[0].union(picked[1])), "id")
     n = [max(1, min(max_labelled, sizes.get(k, 0))) for k in (0, 1)]
     if not sizes.get(0) or not sizes.get(1):
-        return ToxicModel(b"", b"", [-30.0] + [0.0] * 7)
+        return untaught()
 
     counts = rows.select("bytes", "label").mapInArrow(string_counts, "string binary, toxic long, ordinary long").groupBy("string").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
     share_t, share_o, both = (F.col("t") + 0.5) / (n[1] + 1), (F.col("o") + 0.5) / (n[0] + 1), (F.col("t") + F.col("o")) / sum(n)
-    scored = counts.where(F.col("t") + F.col("o") >= LEAST_DOCS).withColumn("z", (share_t - share_o) / F.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]) + 1e-9))
+    counted_at = run_dir(docs.sparkSession, "strings")  # three rankings read the counts
+    counts.where(F.col("t") + F.col("o") >= LEAST_DOCS).write.parquet(counted_at)
+    scored = docs.sparkSession.read.parquet(counted_at).withColumn("z", (share_t - share_o) / F.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]) + 1e-9))
 
     def best(sign: int) -> list[bytes]:
         seen = F.col("t" if sign > 0 else "o") >= LEAST_DOCS
@@ -188,6 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Colum
     # Strings that ordinary texts favour are mostly common ones, which both dictionaries share.
     toxic, ordinary = base + chosen(best(1)), chosen(best(-1)) + base
     got = rows.select("id", "label", "bytes").mapInArrow(featured(toxic, ordinary, ["id", "label"], None), "id long, label int, x0 double, x1 double, x2 double, x3 double").collect()
+    if len({r["label"] for r in got}) < 2:
+        return untaught()
     got.sort(key=tuple)
     y = np.array([r["label"] for r in got], float)
     weight = np.array([sizes[int(k)] / n[int(k)] for k in y])
@@ -197,6 +215,5 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Colum
 def score(docs: DataFrame, model: ToxicModel, text_column: str = "text") -> DataFrame:
     """Other columns of the documents in the struct ``rest``, and the score."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), as_bytes(text_column).alias("bytes"))
-    rest = rows.schema["rest"].dataType.simpleString()
-    return rows.mapInArrow(featured(model.toxic, model.ordinary, ["rest"], model.weights), f"rest {rest}, score double")
+    rows = docs.select(others(docs, text_column), as_bytes(text_column).alias("bytes"))
+    return rows.mapInArrow(featured(model.toxic, model.ordinary, ["rest"], model.weights), beside_rest(rows, "score double"))
