@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.llm import common
-from deliverylens.llm.common import U64, Powers, as_bytes, group_starts, mix, prefix_hash, ship, small_batches
+from deliverylens.llm.common import U64, as_bytes, beside_rest, group_starts, mix, others, prefix_hash, ship, small_batches, Powers
 
 ship(__name__)
 
@@ -160,10 +160,18 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
     return fm
 
 
+def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weights of the machine that fits the vectors of all batches."""
+    rows = sorted(r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("ord", "place", "value", "label"))))
+    vectors = [(np.frombuffer(place, np.int32), np.frombuffer(value, np.float32)) for _, place, value, _ in rows]
+    fm = fit(vectors, np.array([r[3] for r in rows], np.float32))
+    yield pa.record_batch({"w0": pa.array([float(fm.w0)]), "w": pa.array([fm.w.tobytes()], pa.binary()), "v": pa.array([fm.v.tobytes()], pa.binary())})
+
+
 def keyed(docs: DataFrame, id_column: str, text_column: str, size_column: str | None) -> DataFrame:
     small_batches(docs.sparkSession)
     size = F.col(size_column).cast("long") if size_column and size_column in docs.columns else F.lit(None).cast("long")
-    return docs.select(F.struct(*(c for c in docs.columns if c != text_column)).alias("rest"), F.col(id_column).alias("ord"), as_bytes(text_column).alias("bytes"), size.alias("size"))
+    return docs.select(others(docs, text_column), F.col(id_column).alias("ord"), as_bytes(text_column).alias("bytes"), size.alias("size"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None, max_labelled: int = MAX_LABELLED, id_column: str = "doc_id", text_column: str = "text", size_column: str | None = "n_chars") -> Machine:
@@ -172,10 +180,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Col
     chosen = known.select(F.col(id_column).alias("ord"), F.col(label).cast("int").alias("label")).orderBy(F.xxhash64("ord", "label"), "ord").limit(max_labelled)
     # The sample has a bounded size, so it may be sent to all tasks.
     picked = keyed(docs, id_column, text_column, size_column).select("ord", "bytes", "size").join(F.broadcast(chosen), "ord")
-    rows = picked.select("ord", "label", "bytes", "size").mapInArrow(labelled_features, "ord long, label int, place binary, value binary").collect()
-    rows.sort(key=lambda r: (r["ord"], bytes(r["place"]), bytes(r["value"])))
-    vectors = [(np.frombuffer(r["place"], np.int32), np.frombuffer(r["value"], np.float32)) for r in rows]
-    return fit(vectors, np.array([r["label"] for r in rows], np.float32))
+    rows = picked.select("ord", "label", "bytes", "size").mapInArrow(labelled_features, "ord long, label int, place binary, value binary")
+    # One task fits the sample, and the driver sees the weights only.
+    made = rows.repartition(1).mapInArrow(fitted, "w0 double, w binary, v binary").first()
+    if made is None:  # an empty plan runs no task
+        return fit([], np.zeros(0, np.float32))
+    return Machine(made["w0"], np.frombuffer(made["w"], np.float32), np.frombuffer(made["v"], np.float32).reshape(WIDTH, FACTORS))
 
 
 def scorer(model):
@@ -198,5 +208,4 @@ def score(docs: DataFrame, fm: Machine, id_column: str = "doc_id", text_column:
     """(rest, bytes, score) for every document; ``rest`` holds its other columns."""
     rows = keyed(docs, id_column, text_column, size_column)
     model = docs.sparkSession.sparkContext.broadcast((fm.w0, fm.w, fm.v))
-    rest = rows.schema["rest"].dataType.simpleString()
-    return rows.select("rest", "bytes", "size").mapInArrow(scorer(model), f"rest {rest}, bytes binary, score double")
+    return rows.select("rest", "bytes", "size").mapInArrow(scorer(model), beside_rest(rows, "bytes binary, score double"))
