@@ -279,6 +279,11 @@ def across_components(members: DataFrame, labels: DataFrame, signatures: DataFra
     return pairs_of_blocks.applyInArrow(block_links, "u long, v long")
 
 
+def as_links(labels: DataFrame) -> DataFrame:
+    """Links that hold components together, for a search that goes on with more links."""
+    return labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
+
+
 def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(ord, th, n, least): for each distinct id and text its set size and the least id of its group.
 
@@ -309,13 +314,13 @@ def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     likely = written(could_link(stars, signatures), "likely")
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a"))
     links = written(do_link(best, texts), "links")
-    labels = components(links)
+    labels = written(components(links), "labels")
     links2 = written(do_link(apart(likely.join(best, ["a", "b"], "left_anti"), labels), texts), "links")
-    labels = components(links.union(links2))
+    labels = written(components(as_links(labels).union(links2)), "labels")
 
     links3 = written(across_components(members, labels, signatures, texts), "links")
     if not links3.isEmpty():
-        labels = components(links.union(links2).union(links3))
+        labels = written(components(as_links(labels).union(links3)), "labels")
 
     placed = nodes.select("ord", "th", "n", "node").join(labels, "node", "left")
     alone = F.xxhash64("ord", "th")  # a text without words has no node
