@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from deliverylens.llm.common import ship
+from deliverylens.llm.common import quoted, ship
 
 ship(__name__)
 
@@ -131,6 +131,16 @@ def scheduled(weights: dict[str, float] | None, exponent: float, block: int):
     return run
 
 
+def own_names(columns: list[str]) -> tuple[str, str, str]:
+    """Names of source_block, slot and place; one that a document column has gets underscores until it is free."""
+    taken = {c.lower() for c in columns}
+
+    def free(name: str) -> str:
+        return free(name + "_") if name in taken else name
+
+    return free("source_block"), free("slot"), free("place")
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, exponent: float = 0.5, block: int = BLOCK, source_column: str = "source", id_column: str = "doc_id", seed: int = 9) -> DataFrame:
     """All columns of the documents, with source_block, slot and place in the mixture (both from 0).
 
@@ -138,11 +148,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, exponent: floa
     weighs n ** exponent. Rows are not sorted; ``in_order`` does that.
     """
     source: Column = F.coalesce(F.col(source_column).cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), source.alias("s"), F.xxhash64(F.lit(seed), id_column).alias("h"), F.col(id_column).alias("id"))
+    names = own_names(docs.columns)
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("doc"), source.alias("s"), F.xxhash64(F.lit(seed), id_column).alias("h"), F.col(id_column).alias("id"))
     counts = rows.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.agg(F.max("n")).first()[0]
     if not largest:
-        return docs.withColumns({c: F.lit(0).cast("long") for c in ("source_block", "slot", "place")})
+        return docs.withColumns({c: F.lit(0).cast("long") for c in names})
     plan = counts.repartition(1).mapInArrow(scheduled(weights, exponent, block), "p_source string, p_block long, slot long")
 
     # A row's number within its source: rows of smaller hash ranges, then those of its own.
@@ -156,9 +167,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, exponent: floa
 
     placed = numbered.join(plan, (F.col("s") == F.col("p_source")) & (F.col("k") == F.col("p_block")))
     place = F.col("slot") * block + F.col("number") % block
-    return placed.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns), F.col("k").alias("source_block"), "slot", place.alias("place"))
+    return placed.select(*(F.col("doc")[c].alias(c) for c in docs.columns), *(c.alias(n) for c, n in zip((F.col("k"), F.col("slot"), place), names)))
 
 
 def in_order(docs: DataFrame, **options) -> DataFrame:
     """The documents, sorted by their place in the mixture."""
-    return mix(docs, **options).orderBy("place").select(*docs.columns)
+    return mix(docs, **options).orderBy(quoted(own_names(docs.columns)[2])).select(*map(quoted, docs.columns))

@@ -407,6 +407,44 @@ def test_toxicity_on_odd_rows(spark, docs, empty):
     model = toxicity.train(docs, labels)
     assert toxicity.score(docs, model).where("score between 0 and 1").count() == docs.count()
     assert toxicity.score(empty, toxicity.train(empty, labels.limit(0))).count() == 0
+    untaught = toxicity.train(empty, labels)  # labels of documents that are not there
+    assert toxicity.score(docs, untaught).where("score < 1e-12").count() == docs.count()
+
+
+def test_toxicity_windows_cover_long_words():
+    word = bytes(random.Random(2).choices(range(97, 123), k=1000))
+    for n in (1, 31, 32, 33, 47, 48, 49, 64, 1000):
+        windows = toxicity.words_of(word[:n])
+        assert all(len(w) <= toxicity.PIECE for w in windows)
+        places = [word[:n].index(w) for w in windows]
+        assert {i for p, w in zip(places, windows) for i in range(p, p + len(w))} == set(range(n))
+    # Any string of half a piece is whole in some window.
+    assert all(any(word[i : i + 16] in w for w in toxicity.words_of(word)) for i in range(len(word) - 15))
+
+
+def test_toxic_string_deep_in_a_long_word_is_learned(spark):
+    draw = random.Random(5)
+    stem = lambda n: "".join(draw.choices("abcdefgh", k=n))
+    rows = [(i, " ".join(stem(draw.randint(3, 8)) for _ in range(20)) + " " + stem(64) + ("xyzzyqqk" if i % 2 else stem(8)) + stem(40)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int"))
+    assert b"xyzzyqqk" in model.toxic and b"xyzzyqqk" not in model.ordinary
+    gains = toxicity.Gains(model.toxic, model.ordinary)
+    windows = [w for _, text in rows[201::2] for w in toxicity.words_of(text.encode()) if w.startswith(b"xyzzyqqk")]
+    assert len(windows) == 50 and np.mean([gains.of(w) > 0 for w in windows]) > 0.9
+
+
+def test_names_of_extra_columns_do_not_clash(spark):
+    rows = [(i, f"word{i} and others {i % 7}", f"s{i % 3}", i, -i, 5, "x") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, place long, Slot long, slot_ int, `a.b` string")
+    mixed = pfair_mix.mix(docs)
+    assert mixed.columns == [*docs.columns, "source_block", "slot__", "place_"]
+    got = mixed.collect()
+    assert sorted(tuple(r)[:7] for r in got) == rows and len({r.place_ for r in got}) == 40
+    assert sorted(tuple(r) for r in pfair_mix.in_order(docs).collect()) == rows
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    for kept in (quality_fm.score(docs, quality_fm.train(docs, labels)), toxicity.score(docs, toxicity.train(docs, labels))):
+        assert sorted((r.rest["doc_id"], r.rest["a.b"], r.rest["place"]) for r in kept.collect()) == [(r[0], "x", r[3]) for r in rows]
 
 
 def test_pipeline_rows(spark):
