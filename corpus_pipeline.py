@@ -12,7 +12,7 @@ from deliverylens.session import run_dir
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: documents that the classifier rejects go."""
+    """Operator 3: documents that the classifier rejects go. A null text is an empty one from here on."""
     scored = quality_fm.score(docs, learned_quality(spark, docs, sf_dir)).where(F.col("score") >= QUALITY_CUT)
     return scored.select(*(F.col("bytes").cast("string").alias(c) if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
 
@@ -30,13 +30,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: the rows get their place in the mixture, which readers of several files would lose."""
-    return pfair_mix.mix(docs).drop("source_block", "slot").orderBy("place")
+    return pfair_mix.mix(docs).drop(*pfair_mix.own_names(docs.columns)[:2])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: token ids, whether they decode to the text, and the place in the mixture."""
     out = byte_bpe.encode_decode(docs.withColumn("original", F.coalesce(F.col("text"), F.lit("")).cast("binary")), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
-    return out.select("rest.doc_id", "rest.lang", "rest.source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("rest.original")).alias("round_trip"), "rest.place")
+    place = max((c for c in docs.columns if c.rstrip("_") == "place"), key=len)  # the operator's, beside a column of that name
+    return out.select("rest.doc_id", "rest.lang", "rest.source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("rest.original")).alias("round_trip"), F.col(f"rest.`{place}`").alias("place"))
 
 
 STAGES = [
