@@ -199,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Colum
         top = scored.where((sign * F.col("z") >= LEAST_Z) & seen).orderBy(F.desc(sign * F.col("z")), F.desc(F.length("string")), "string").limit(2 * SEGMENT_BYTES)
         return [bytes(r["string"]) for r in top.select("string").collect()]
 
-    common = [bytes(r["string"]) for r in scored.orderBy(F.desc("o"), F.desc(F.length("string")), "string").select("string").limit(COMMON_BYTES // 5).collect()]
+    common = [bytes(r["string"]) for r in scored.where(F.col("o") >= LEAST_DOCS).orderBy(F.desc("o"), F.desc(F.length("string")), "string").select("string").limit(COMMON_BYTES // 5).collect()]
     base = b"".join(common)[:COMMON_BYTES]
     # Strings that ordinary texts favour are mostly common ones, which both dictionaries share.
     toxic, ordinary = base + chosen(best(1)), chosen(best(-1)) + base
