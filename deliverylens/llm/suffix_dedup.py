@@ -19,8 +19,8 @@ bytes before and after it that its windows cover.
    with long enough common prefixes on both sides are the groups of equal
    windows; the smallest id of a group covers the rest.
 4. Leading bytes that the sample holds too often fill several buckets; their
-   windows are compared across the boundaries by an aggregate with partial
-   results and a join that Spark can split.
+   windows are compared across the boundaries by an aggregate and a join that
+   see a window once a bucket.
 
 Defined cases: a null text is empty; a null id counts as larger than any other;
 rows with equal ids never remove bytes from each other; texts under
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.llm import common
-from deliverylens.llm.common import NO_ID, U64, Powers, as_bytes, group_starts, mix, order_key, parts_for, prefix_hash, ship, small_batches, text_size
+from deliverylens.llm.common import NO_ID, U64, Powers, as_bytes, beside_rest, group_starts, mix, order_key, others, parts_for, prefix_hash, ship, small_batches, text_size
 from deliverylens.session import run_dir
 
 ship(__name__)
@@ -234,14 +234,36 @@ def covered_windows(right: np.ndarray, left: np.ndarray, ids: np.ndarray, window
     return out
 
 
-FIELDS = ("right", "left", "ord", "th", "place", "windows", "covered")
+#: Columns of packed suffixes: name, number type, or the bytes of a row.
+FIELDS = {"right": LENGTH, "left": LEFT, "ord": np.int64, "th": np.int32, "place": np.int32, "windows": np.uint64}
+MARK = np.dtype([("ord", "<i8"), ("th", "<i4"), ("place", "<i4"), ("covered", "<u8")])
+MAX_RANGES = 2048  # splitters are fewer; beyond, a range is dealt on by a hash of the leading bytes
 
 
-def suffix_rows(splitters: list[bytes] | None):
-    """Rows of documents with repeated anchors: suffixes to compare, and marks already made.
+def marks_of(ids: np.ndarray, th: np.ndarray, place: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """One record a suffix row, of 24 bytes."""
+    out = np.empty(len(ids), MARK)
+    out["ord"], out["th"], out["place"], out["covered"] = ids, th, place, covered
+    return out
+
+
+def mark_batch(marks: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({c: pa.array(np.ascontiguousarray(marks[c]).view(np.int64) if c == "covered" else np.ascontiguousarray(marks[c])) for c in MARK.names})
+
 
-    ``bucket`` is the place among the splitters; rows without windows left are
-    spread by their document. Without splitters only the leading bytes are returned.
+def lead_hash(lead: np.ndarray) -> np.ndarray:
+    """Scattered bits of leading bytes; equal ones have equal hashes."""
+    halves = np.ascontiguousarray(lead).view(U64).reshape(-1, GRAM // 8)
+    return mix(halves[:, 0] + mix(halves[:, 1]))
+
+
+def suffix_rows(splitters: list[bytes] | None, n_parts: int = 1):
+    """Packed suffixes to compare, one row for a task's share of a bucket, and marks already made.
+
+    A bucket is a range between splitters, dealt on by a hash of the leading
+    bytes where ``n_parts`` asks for more buckets than there are ranges.
+    Suffixes without windows left are not sent. Without splitters only the
+    leading bytes are returned.
     """
     bounds = None if splitters is None else np.array(splitters, dtype=f"S{GRAM}")
 
@@ -249,27 +271,29 @@ def suffix_rows(splitters: list[bytes] | None):
         right, left = np.concatenate([x[0] for x in rows]), np.concatenate([x[1] for x in rows])
         key, th, place, windows = (np.concatenate([x[c] for x in rows]) for c in (2, 3, 4, 5))
         done = covered_windows(right, left, key, windows)
-        rest = windows & ~done
-        lead = np.ascontiguousarray(right[:, :GRAM]).view(f"S{GRAM}").ravel()
-        low, high = np.searchsorted(bounds, lead, side="left"), np.searchsorted(bounds, lead, side="right")
-        low = np.where(high - low > 1, low, high)  # leading bytes drawn twice or more fill several buckets
-        low, high = np.where(rest > 0, low, 0), np.where(rest > 0, high, len(bounds))
+        windows &= ~done
+        lead = np.ascontiguousarray(right[:, :GRAM])
+        view = lead.view(f"S{GRAM}").ravel()
+        low, high = np.searchsorted(bounds, view, side="left"), np.searchsorted(bounds, view, side="right")
+        low = np.where(high - low > 1, low, high)  # leading bytes drawn twice or more fill several ranges
         spread = mix(key.astype(U64) + place.astype(U64)) % (high - low + 1).astype(U64)
-        bucket = low + spread.astype(np.int64)
-        right[rest == 0] = 0
-        left[rest == 0] = 0
-        yield pa.record_batch(
-            {
-                "bucket": pa.array(bucket.astype(np.int32)),
-                "right": pa.FixedSizeBinaryArray.from_buffers(pa.binary(LENGTH), len(key), [None, pa.py_buffer(right.tobytes())]).cast(pa.binary()),
-                "left": pa.FixedSizeBinaryArray.from_buffers(pa.binary(LEFT), len(key), [None, pa.py_buffer(left.tobytes())]).cast(pa.binary()),
-                "ord": pa.array(key),
-                "th": pa.array(th),
-                "place": pa.array(place),
-                "windows": pa.array(rest.view(np.int64)),
-                "covered": pa.array(done.view(np.int64)),
-            }
-        )
+        each = -(-n_parts // (len(bounds) + 1))
+        bucket = (low + spread.astype(np.int64)) * each + (lead_hash(lead) % U64(each)).astype(np.int64)
+        send = np.flatnonzero(windows)
+        send = send[np.argsort(bucket[send], kind="stable")]
+        columns = {"right": right, "left": left, "ord": key, "th": th, "place": place, "windows": windows}
+        start = group_starts(bucket[send])
+        ends = np.append(start[1:], len(send))
+        packed = {c: [v[send[i:j]].tobytes() for i, j in zip(start, ends)] for c, v in columns.items()}
+        made = np.flatnonzero(done)
+        if len(made):
+            marks = marks_of(key[made], th[made], place[made], done[made])
+            packed = {c: [*v, None] for c, v in packed.items()}
+            buckets = [*bucket[send[start]], bucket[made[0]]]
+            mark_column = [*[None] * len(start), marks.tobytes()]
+        else:
+            buckets, mark_column = bucket[send[start]], [None] * len(start)
+        yield pa.record_batch({"bucket": pa.array(np.asarray(buckets, np.int32)), **{c: pa.array(v, pa.binary()) for c, v in packed.items()}, "marks": pa.array(mark_column, pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, rows, held = Powers(), [], 0
@@ -307,66 +331,87 @@ def suffix_rows(splitters: list[bytes] | None):
     return run
 
 
-SUFFIX_SCHEMA = "bucket int, right binary, left binary, ord long, th int, place int, windows long, covered long"
+SUFFIX_SCHEMA = "bucket int, right binary, left binary, ord binary, th binary, place binary, windows binary, marks binary"
 LEAD_SCHEMA = "lead binary"
 MARK_SCHEMA = "ord long, th int, place int, covered long"
-WINDOW_SCHEMA = "win binary, ord long, th int, place int, covered long"
+WINDOW_SCHEMA = "win binary, least long, most long, marks binary"
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
+    """The suffixes of packed rows, one array a column."""
+    got: dict[str, list] = {c: [] for c in FIELDS}
+    for batch in batches:
+        for c in FIELDS:
+            got[c] += [x for x in batch.column(c).to_pylist() if x is not None]
+    out = {}
+    for c, kind in FIELDS.items():
+        flat = b"".join(got.pop(c))
+        out[c] = np.frombuffer(flat, np.uint8).reshape(-1, kind) if isinstance(kind, int) else np.frombuffer(flat, kind)
+    return out
 
 
 def sorted_bucket(want_windows: bool, shared: list[bytes]):
-    """Marks of a bucket's suffixes; or the windows to compare with other buckets, of suffixes whose leading bytes fill several."""
+    """Marks of a bucket's suffixes; or the windows to compare with other buckets, of suffixes whose leading bytes fill several.
+
+    A window is one row of its bucket, with the marks of all suffixes there.
+    """
     shared_leads = np.array(shared, dtype=f"S{GRAM}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[str, list] = {c: [] for c in FIELDS}
+        kept = []
         for batch in batches:
-            rest = batch.column("windows").to_numpy() != 0
-            passed = batch.filter(pa.array((batch.column("covered").to_numpy() != 0)))
-            if len(passed) and not want_windows:
-                yield passed.select(["ord", "th", "place", "covered"])
-            batch = batch.filter(pa.array(rest))
-            for c in FIELDS:
-                column = batch.column(c)
-                got[c].append(b"".join(column.to_pylist()) if c in ("right", "left") else column.to_numpy())
-        if not got["ord"] or not sum(map(len, got["ord"])):
+            for made in batch.column("marks").to_pylist():
+                if made is not None and not want_windows:
+                    yield mark_batch(np.frombuffer(made, MARK))
+            kept.append(batch.select(list(FIELDS)))
+        got = unpacked(iter(kept))
+        right, left, ids, th, place, windows = (got[c] for c in FIELDS)
+        if not len(ids):
             return
-        right = np.frombuffer(b"".join(got["right"]), np.uint8).reshape(-1, LENGTH)
-        left = np.frombuffer(b"".join(got["left"]), np.uint8).reshape(-1, LEFT)
-        ids, th, place = (np.concatenate(got[c]) for c in ("ord", "th", "place"))
-        windows = np.concatenate(got["windows"]).view(U64)
-        lead = np.ascontiguousarray(right[:, :GRAM]).view(f"S{GRAM}").ravel()
-        edge = np.isin(lead, shared_leads)
+        edge = np.isin(np.ascontiguousarray(right[:, :GRAM]).view(f"S{GRAM}").ravel(), shared_leads)
         if not want_windows:
             inner = np.flatnonzero(~edge)
             done = covered_windows(right[inner], left[inner], ids[inner], windows[inner])
             inner, done = inner[done > 0], done[done > 0]
-            yield pa.record_batch({"ord": pa.array(ids[inner]), "th": pa.array(th[inner]), "place": pa.array(place[inner]), "covered": pa.array(done.view(np.int64))})
+            yield mark_batch(marks_of(ids[inner], th[inner], place[inner], done))
             return
         edge = np.flatnonzero(edge)
         both = np.concatenate([left[edge, ::-1], right[edge]], axis=1)
         for a in range(LEFT + 1):
             has = np.flatnonzero((windows[edge] >> U64(a)) & U64(1))
-            if len(has):
-                text = np.ascontiguousarray(both[has, LEFT - a : LEFT - a + LENGTH])
-                at = edge[has]
-                yield pa.record_batch(
-                    {
-                        "win": pa.FixedSizeBinaryArray.from_buffers(pa.binary(LENGTH), len(has), [None, pa.py_buffer(text.tobytes())]).cast(pa.binary()),
-                        "ord": pa.array(ids[at]),
-                        "th": pa.array(th[at]),
-                        "place": pa.array(place[at]),
-                        "covered": pa.array(np.full(len(has), 1 << a, np.int64)),
-                    }
-                )
+            if not len(has):
+                continue
+            text = np.ascontiguousarray(both[has, LEFT - a : LEFT - a + LENGTH])
+            order = multikey_quicksort(words(text))
+            start = group_starts(np.cumsum(common_prefixes(text[order]) < LENGTH))
+            ends = np.append(start[1:], len(order))
+            at = edge[has[order]]
+            marks = marks_of(ids[at], th[at], place[at], np.full(len(at), 1 << a, U64))
+            yield pa.record_batch(
+                {
+                    "win": pa.array([text[i].tobytes() for i in order[start]], pa.binary()),
+                    "least": pa.array(np.minimum.reduceat(ids[at], start)),
+                    "most": pa.array(np.maximum.reduceat(ids[at], start)),
+                    "marks": pa.array([marks[i:j].tobytes() for i, j in zip(start, ends)], pa.binary()),
+                }
+            )
 
     return run
 
 
+def beyond_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks of windows that a smaller id has, from (least id, packed marks)."""
+    for batch in batches:
+        for least, made in zip(batch.column("least").to_pylist(), batch.column("marks").to_pylist()):
+            marks = np.frombuffer(made, MARK)
+            yield mark_batch(marks[marks["ord"] > least])
+
+
 # The remaining bytes.
 
 BACK = np.arange(LEFT + 1)
 
-KEPT_FIELDS = "n_bytes long, n_removed long, n_spans long, spans array<struct<first:int,last:int>>, kept binary"
+KEPT_FIELDS = "n_bytes long, n_removed long, n_spans long, spans array<struct<first:int,last:int>>, kept "
 
 
 def cut_text(text: bytes, place: np.ndarray, bits: np.ndarray) -> tuple[int, int, np.ndarray, bytes]:
@@ -380,43 +425,47 @@ def cut_text(text: bytes, place: np.ndarray, bits: np.ndarray) -> tuple[int, int
     return len(text), int(gone.sum()), edges.reshape(-1, 2), np.frombuffer(text, np.uint8)[~gone].tobytes()
 
 
-def keep_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def keep_rest(as_text: bool):
+    """What is left of every text, in bytes or as text without the characters that a cut splits."""
     span = pa.struct([("first", pa.int32()), ("last", pa.int32())])
-    for batch in batches:
-        marks = batch.column("marks")
-        fields = marks.values
-        th, place, bits = (fields.field(c).to_numpy(zero_copy_only=False) for c in ("th", "place", "covered"))
-        ends = marks.offsets.to_numpy()
-        found = []
-        for i, (text, own) in enumerate(zip(batch.column("bytes").to_pylist(), batch.column("th").to_pylist())):
-            at = ends[i] + np.flatnonzero(th[ends[i] : ends[i + 1]] == own)
-            found.append(cut_text(text, place[at], bits[at].view(U64)))
-        n, removed, spans, kept = zip(*found) if found else ((), (), (), ())
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in spans])]).astype(np.int32)
-        flat = np.concatenate(spans).astype(np.int32) if len(spans) else np.zeros((0, 2), np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, 0])), pa.array(np.ascontiguousarray(flat[:, 1]))], fields=list(span)))
-        yield pa.record_batch(
-            {
-                "rest": batch.column("rest"),
-                "n_bytes": pa.array(n, pa.int64()),
-                "n_removed": pa.array(removed, pa.int64()),
-                "n_spans": pa.array([len(s) for s in spans], pa.int64()),
-                "spans": lists,
-                "kept": pa.array(kept, pa.binary()),
-            }
-        )
-
-
-def draw_splitters(keyed: DataFrame, flags: DataFrame, total: int, n_parts: int) -> list[bytes]:
-    """Leading bytes that deal the suffixes of about ``SAMPLE_BYTES`` of text evenly; fewer than ``n_parts`` of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = batch.column("marks")
+            fields = marks.values
+            th, place, bits = (fields.field(c).to_numpy(zero_copy_only=False) for c in ("th", "place", "covered"))
+            ends = marks.offsets.to_numpy()
+            found = []
+            for i, (text, own) in enumerate(zip(batch.column("bytes").to_pylist(), batch.column("th").to_pylist())):
+                at = ends[i] + np.flatnonzero(th[ends[i] : ends[i + 1]] == own)
+                found.append(cut_text(text, place[at], bits[at].view(U64)))
+            n, removed, spans, kept = zip(*found) if found else ((), (), (), ())
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in spans])]).astype(np.int32)
+            flat = np.concatenate(spans).astype(np.int32) if len(spans) else np.zeros((0, 2), np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, 0])), pa.array(np.ascontiguousarray(flat[:, 1]))], fields=list(span)))
+            yield pa.record_batch(
+                {
+                    "rest": batch.column("rest"),
+                    "n_bytes": pa.array(n, pa.int64()),
+                    "n_removed": pa.array(removed, pa.int64()),
+                    "n_spans": pa.array([len(s) for s in spans], pa.int64()),
+                    "spans": lists,
+                    "kept": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
+                }
+            )
+
+    return run
+
+
+def draw_splitters(keyed: DataFrame, flags: DataFrame, total: int, n_ranges: int) -> list[bytes]:
+    """Leading bytes that deal the suffixes of about ``SAMPLE_BYTES`` of text evenly; fewer than ``n_ranges`` of them."""
     share = min(1.0, SAMPLE_BYTES / max(total, 1))
     some = keyed.where(F.pmod(F.xxhash64("th", "ord"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
     leads = some.join(flags, "ord").select("ord", "th", "bytes", "hs").mapInArrow(suffix_rows(None), LEAD_SCHEMA)
-    # A random part of the sample, of bounded size.
-    kept = [bytes(r["lead"]) for r in leads.orderBy(F.xxhash64("lead", F.rand(7))).limit(n_parts * 64).collect()]
-    kept.sort()
-    step = max(1, len(kept) // n_parts)
-    return kept[step::step][: n_parts - 1]
+    # A random part of the sample, of bounded size, and put together in one task: the driver gets no more than it keeps.
+    drawn = leads.orderBy(F.xxhash64("lead", F.rand(7))).limit(n_ranges * 64)
+    kept = [bytes(x) for x in drawn.agg(F.sort_array(F.collect_list("lead")).alias("leads")).first()["leads"]]
+    step = max(1, len(kept) // n_ranges)
+    return kept[step::step][: n_ranges - 1]
 
 
 def mark_repeats(keyed: DataFrame, spark: SparkSession, n_parts: int, total: int) -> DataFrame:
@@ -426,42 +475,44 @@ def mark_repeats(keyed: DataFrame, spark: SparkSession, n_parts: int, total: int
     path = run_dir(spark, "anchors")
     found.groupBy("ord").agg(F.collect_list("h").alias("hs")).write.parquet(path)
     flags = spark.read.parquet(path)
-    splitters = draw_splitters(keyed, flags, total, n_parts)
+    splitters = draw_splitters(keyed, flags, total, min(n_parts, MAX_RANGES))
+    n_ranges = len(splitters) + 1
     # With ``rest``, so that both joins read one exchange of the documents.
-    suffixes = keyed.join(flags, "ord").select("rest", "ord", "th", "bytes", "hs").mapInArrow(suffix_rows(splitters), SUFFIX_SCHEMA)
-    dealt = suffixes.repartitionById(len(splitters) + 1, F.col("bucket"))
+    suffixes = keyed.join(flags, "ord").select("rest", "ord", "th", "bytes", "hs").mapInArrow(suffix_rows(splitters, n_parts), SUFFIX_SCHEMA)
+    dealt = suffixes.repartitionById(n_ranges * -(-n_parts // n_ranges), F.col("bucket"))
     shared = sorted({a for a, b in zip(splitters, splitters[1:]) if a == b})
     inner = dealt.mapInArrow(sorted_bucket(False, shared), MARK_SCHEMA)
     if not shared:
         return inner
     windows = dealt.mapInArrow(sorted_bucket(True, shared), WINDOW_SCHEMA)
-    least = windows.groupBy("win").agg(F.min("ord").alias("least"), F.max("ord").alias("most")).where("least < most").drop("most")
-    across = windows.join(least, "win").where("ord > least").select("ord", "th", "place", "covered")
+    least = windows.groupBy("win").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least < most")
+    across = windows.select("win", "marks").join(least.select("win", "least"), "win").select("least", "marks").mapInArrow(beyond_least, MARK_SCHEMA)
     return inner.union(across)
 
 
-def find_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: all its columns in the struct ``rest``, n_bytes, n_removed, n_spans, spans (first, end) and the kept bytes."""
+def _repeats(docs: DataFrame, id_column: str, text_column: str, as_text: bool) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     _, total = text_size(docs, text_column)
     n_parts = parts_for(spark, total)
-    others = [c for c in docs.columns if c != text_column]
     keyed = docs.select(
-        F.struct(*others).alias("rest"),
+        others(docs, text_column),
         order_key(id_column).alias("ord"),
         F.hash(text_column).alias("th"),
         as_bytes(text_column).alias("bytes"),
     )
     marks = mark_repeats(keyed, spark, n_parts, total)
     per_doc = marks.groupBy("ord").agg(F.collect_list(F.struct("th", "place", "covered")).alias("marks"))
-    rest = keyed.schema["rest"].dataType.simpleString()
-    return keyed.join(per_doc, "ord", "left").select("rest", "th", "bytes", "marks").mapInArrow(keep_rest, f"rest {rest}, {KEPT_FIELDS}")
+    fields = KEPT_FIELDS + ("string" if as_text else "binary")
+    return keyed.join(per_doc, "ord", "left").select("rest", "th", "bytes", "marks").mapInArrow(keep_rest(as_text), beside_rest(keyed, fields))
+
+
+def find_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: all its other columns in the struct ``rest``, n_bytes, n_removed, n_spans, spans (first, end) and the kept bytes."""
+    return _repeats(docs, id_column, text_column, False)
 
 
 def strip_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents with repeated byte strings cut out of their texts; a character that a cut splits goes too."""
-    found = find_repeats(docs, id_column, text_column)
-    kept = F.col("kept").cast("string")
-    whole = F.when(F.is_valid_utf8(kept), kept).otherwise(F.regexp_replace(F.make_valid_utf8(kept), "\ufffd", ""))
-    return found.select(*(whole.alias(c) if c == text_column else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
+    found = _repeats(docs, id_column, text_column, True)
+    return found.select(*(F.col("kept").alias(c) if c == text_column else F.col("rest").getField(c).alias(c) for c in docs.columns))

@@ -98,6 +98,23 @@ def test_suffix_dedup_with_leading_bytes_that_fill_several_buckets(spark, monkey
     assert as_sorted(got) == as_sorted(brute_cut(rows))
 
 
+@pytest.mark.parametrize("most_ranges", [1, 3])
+def test_suffix_dedup_with_fewer_ranges_than_buckets(spark, docs, rows, monkeypatch, most_ranges):
+    monkeypatch.setattr(suffix_dedup, "parts_for", lambda *a: 11)
+    monkeypatch.setattr(suffix_dedup, "MAX_RANGES", most_ranges)
+    got = [(r.rest.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.find_repeats(docs).collect()]
+    assert as_sorted(got) == as_sorted(brute_cut(rows))
+
+
+def test_suffix_dedup_keeps_replacement_characters_and_dotted_names(spark):
+    shared = "x" + "\u00e9" * 40  # a cut of 50-byte strings ends inside a character
+    table = spark.createDataFrame([(1, shared, "a"), (2, "\ufffd y" + shared[:30] + "\u00e8 \ufffd", "b")], "doc_id long, text string, `a.b` string")
+    got = {r["doc_id"]: (r["text"], r["a.b"]) for r in suffix_dedup.strip_repeats(table).collect()}
+    assert got[1] == (shared, "a")
+    rest = brute_cut([(1, shared), (2, "\ufffd y" + shared[:30] + "\u00e8 \ufffd")])[1][4].decode("utf-8", "ignore")
+    assert got[2] == (rest, "b") and rest.count("\ufffd") == 2
+
+
 def test_suffix_dedup_texts_and_empty_table(docs, empty):
     cut = suffix_dedup.strip_repeats(docs)
     assert cut.columns == docs.columns and cut.count() == docs.count()
