@@ -169,11 +169,18 @@ def grain_report(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     )
 
 
+def assert_grains(tables: Sequence[tuple[DataFrame, Sequence[str], str]]) -> None:
+    """Raise unless every table has one row per key; one job for all of them."""
+    reports = [grain_report(df, keys, name).select("rows", "unique_keys", "one_row_per_key", F.lit(i).alias("_at")) for i, (df, keys, name) in enumerate(tables)]
+    bad = reduce(DataFrame.unionAll, reports).where(~F.col("one_row_per_key")).orderBy("_at").first()
+    if bad:
+        _, keys, name = tables[bad["_at"]]
+        raise GrainError(f"{name}: {bad['rows']} rows but {bad['unique_keys']} keys {list(keys)}")
+
+
 def assert_grain(df: DataFrame, keys: Sequence[str], name: str = "table") -> None:
     """Raise unless the table has one row per key."""
-    report = grain_report(df, keys, name).first()
-    if not report["one_row_per_key"]:
-        raise GrainError(f"{name}: {report['rows']} rows but {report['unique_keys']} keys {list(keys)}")
+    assert_grains([(df, keys, name)])
 
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deliverylens.functions.dates import parse_timestamp
-from deliverylens.operators.checks import assert_grain
+from deliverylens.operators.checks import assert_grains
 
 # Date columns by table; a CSV scan delivers them as text.
 DATE_COLUMNS = {
@@ -209,25 +209,31 @@ _LARGEST = ("shipping_limit_date", "product_weight_g")
 def aggregate_items(details: DataFrame) -> DataFrame:
     """Item measures per order, 20 of them, in one pass over the items.
 
-    Every item becomes one row for its measures and one for each value that is
-    counted; both aggregates combine before their shuffle and keep flat
-    buffers, so an order with very many items is spread over many tasks, no
-    set of values is ever held in memory, and the items are read and joined
-    once.
+    Items are first combined by order and counted values, where the joins have
+    left them, so an order with very many items becomes one row for each
+    combination. Those rows are dealt by order once; only behind that they
+    become a row for the measures and one for each value that is counted, and
+    both aggregates keep the partitioning. Buffers are flat, no set of values
+    is ever held in memory.
     """
-    measures = sorted({*_SUMMED, *_LARGEST})
-    nothing = [F.lit(None).cast(details.schema[c].dataType).alias(c) for c in measures]
-    kinds = [F.struct(F.lit("item").alias("kind"), F.lit(None).cast("string").alias("value"), *measures)]
-    kinds += [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value"), *nothing) for k, c in _COUNTED.items()]
-    counted = (
-        details.select("order_id", F.inline(F.array(*kinds)))
-        .groupBy("order_id", "kind", "value")
+    measures = [f"{how}_{c}" for how, columns in (("sum", _SUMMED), ("count", _SUMMED), ("max", _LARGEST)) for c in columns]
+    combined = (
+        details.groupBy("order_id", *_COUNTED.values())
         .agg(
             F.count(F.lit(1)).alias("n"),
             *[F.sum(c).alias(f"sum_{c}") for c in _SUMMED],
             *[F.count(c).alias(f"count_{c}") for c in _SUMMED],
             *[F.max(c).alias(f"max_{c}") for c in _LARGEST],
         )
+        .repartition("order_id")
+    )
+    nothing = [F.lit(None).cast(combined.schema[c].dataType).alias(c) for c in measures]
+    kinds = [F.struct(F.lit("item").alias("kind"), F.lit(None).cast("string").alias("value"), "n", *measures)]
+    kinds += [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value"), "n", *nothing) for k, c in _COUNTED.items()]
+    counted = (
+        combined.select("order_id", F.inline(F.array(*kinds)))
+        .groupBy("order_id", "kind", "value")
+        .agg(F.sum("n").alias("n"), *[(F.max(c) if c.startswith("max_") else F.sum(c)).alias(c) for c in measures])
     )
     kind, value = F.col("kind"), F.col("value")
 
@@ -301,7 +307,7 @@ def build_order_mart(
 
     Each part has one row per key, so a part that supplies none of the wanted
     ``columns`` is not joined at all. ``check=True`` runs the one-to-one check
-    on the base tables first (one aggregate per table) and raises on a
+    on the base tables first (one job for all of them) and raises on a
     duplicate key; the aggregated parts are unique by construction.
     """
     columns = list(columns)
@@ -310,12 +316,16 @@ def build_order_mart(
     orders = tables["orders"]
     centroids = zip_centroids(tables["geolocation"])
     if check:
-        assert_grain(orders, ["order_id"], "orders")
-        assert_grain(orders, ["customer_id"], "orders")
-        assert_grain(tables["customers"], ["customer_id"], "customers")
-        assert_grain(tables["products"], ["product_id"], "products")
-        assert_grain(tables["sellers"], ["seller_id"], "sellers")
-        assert_grain(tables["product_category_translation"], ["product_category_name"], "translation")
+        assert_grains(
+            [
+                (orders, ["order_id"], "orders"),
+                (orders, ["customer_id"], "orders"),
+                (tables["customers"], ["customer_id"], "customers"),
+                (tables["products"], ["product_id"], "products"),
+                (tables["sellers"], ["seller_id"], "sellers"),
+                (tables["product_category_translation"], ["product_category_name"], "translation"),
+            ]
+        )
     mart = orders.select(*ORDER_COLUMNS)
     if wanted & set(CUSTOMER_COLUMNS):
         mart = mart.join(enrich_customers(tables["customers"], centroids), "customer_id", "left")

@@ -35,6 +35,9 @@ def test_items_are_read_once(stages):
     details = mart.item_details(*(t[n] for n in ("order_items", "products", "product_category_translation", "sellers")), mart.zip_centroids(t["geolocation"]))
     text = plan(mart.aggregate_items(details))
     assert text.count("lineitem.parquet") == 1
+    tree = text[: text.index("(1) ")]
+    assert tree.index("Generate") < tree.index("Exchange"), "values are counted behind the last shuffle"
+    assert text.count("hashpartitioning(order_id#") == 1, "both aggregates keep the partitioning by order"
 
 
 def test_scoring_does_not_shuffle(stages):
