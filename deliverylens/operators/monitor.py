@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from deliverylens.functions.jsonlog import is_error_status, is_object, safe_float, safe_int, text_field
 from deliverylens.operators.quantiles import column_quantiles
+from deliverylens.session import cut_lineage
 from deliverylens.sources.logs import LogScan
 
 SCORING_PATHS = ("/predict", "/predict/batch")
@@ -54,25 +55,54 @@ def prediction_events(records: DataFrame) -> DataFrame:
     ).drop("_has_output")
 
 
-def request_totals() -> tuple[Column, ...]:
-    """Aggregates over request events, shared by batch and stream."""
+def marked_requests(lines: DataFrame) -> DataFrame:
+    """Every log line, invalid ones included: ``valid``, whether it is ``counted`` as a scoring request, and its figures."""
+    record = F.col("record")
+    scoring = (text_field(record, "$.event") == "api_request") & text_field(record, "$.path").isin(*SCORING_PATHS)
+    return lines.select(
+        "valid",
+        F.coalesce(F.col("valid") & scoring, F.lit(False)).alias("counted"),
+        is_error_status(record).alias("is_error"),
+        safe_float(record, "$.latency_ms").alias("latency_ms"),
+    )
+
+
+def marked_predictions(lines: DataFrame) -> DataFrame:
+    """Every log line, invalid ones included: ``valid``, whether it is ``counted`` as a prediction, and its figures."""
+    record = F.col("record")
+    fields = F.struct(
+        ((text_field(record, "$.event") == "prediction") & is_object(F.try_variant_get(record, "$.output", "variant"))).alias("_made"),
+        safe_float(record, "$.output.late_probability").alias("late_probability"),
+        safe_int(record, "$.output.predicted_is_late").alias("predicted_is_late"),
+    )
+    found = lines.select("valid", F.inline(F.array(fields)))
+    usable = F.col("valid") & F.col("_made") & F.col("late_probability").isNotNull() & F.col("predicted_is_late").isin(0, 1)
+    return found.withColumn("counted", F.coalesce(usable, F.lit(False))).drop("_made")
+
+
+def request_totals(counted: Column | None = None) -> tuple[Column, ...]:
+    """Aggregates over request events, shared by batch and stream; of the ``counted`` rows where that is given."""
+    counted = F.lit(True) if counted is None else counted
+    latency = F.when(counted, F.col("latency_ms"))
+    errors = F.count_if(counted & F.col("is_error"))
     return (
-        F.count(F.lit(1)).alias("request_count"),
-        F.count_if("is_error").alias("error_count"),
-        F.coalesce(F.try_divide(F.count_if("is_error"), F.count(F.lit(1))), F.lit(0.0)).alias("error_rate"),
-        F.avg("latency_ms").alias("average_latency_ms"),
-        F.max("latency_ms").alias("max_latency_ms"),
+        F.count_if(counted).alias("request_count"),
+        errors.alias("error_count"),
+        F.coalesce(F.try_divide(errors, F.count_if(counted)), F.lit(0.0)).alias("error_rate"),
+        F.avg(latency).alias("average_latency_ms"),
+        F.max(latency).alias("max_latency_ms"),
     )
 
 
-def prediction_totals() -> tuple[Column, ...]:
-    late = F.count_if(F.col("predicted_is_late") == 1)
+def prediction_totals(counted: Column | None = None) -> tuple[Column, ...]:
+    counted = F.lit(True) if counted is None else counted
+    late = F.count_if(counted & (F.col("predicted_is_late") == 1))
     return (
-        F.count(F.lit(1)).alias("prediction_count"),
+        F.count_if(counted).alias("prediction_count"),
         late.alias("predicted_late_count"),
-        F.count_if(F.col("predicted_is_late") == 0).alias("predicted_on_time_count"),
-        F.try_divide(late, F.count(F.lit(1))).alias("predicted_late_rate"),
-        F.avg("late_probability").alias("mean_late_probability"),
+        F.count_if(counted & (F.col("predicted_is_late") == 0)).alias("predicted_on_time_count"),
+        F.try_divide(late, F.count_if(counted)).alias("predicted_late_rate"),
+        F.avg(F.when(counted, F.col("late_probability"))).alias("mean_late_probability"),
     )
 
 
@@ -138,14 +168,22 @@ def monitoring_summary(
     predictions: LogScan,
     limits: MonitorLimits = MonitorLimits(),
 ) -> DataFrame:
-    """The whole summary as one row of nested structs."""
-    request_row = request_metrics(request_events(requests.records))
-    drift_row = drift(prediction_metrics(prediction_events(predictions.records)), limits)
-    both = _side_by_side(request_row, drift_row)
+    """The whole summary as one row of nested structs.
+
+    Each log is parsed once: the figures of request lines are written, since the
+    p95 passes over them again, and one aggregate a log gives its totals and its
+    count of invalid lines.
+    """
+    invalid = F.count_if(~F.col("valid"))
+    asked = cut_lineage(marked_requests(requests.lines))
+    p95 = column_quantiles(asked.where("counted"), ["latency_ms"], {"p95": 0.95}).agg(F.max("p95"))
+    totals = asked.agg(*request_totals(F.col("counted")), invalid.alias("_invalid_requests")).withColumn("p95_latency_ms", p95.scalar())
+    answered = marked_predictions(predictions.lines).agg(*prediction_totals(F.col("counted")), invalid.alias("_invalid_predictions"))
+    both = _side_by_side(totals, drift(answered, limits))
     names = alert_list(limits)
     return both.select(
         F.when(F.size(names) > 0, "alert").otherwise("ok").alias("status"),
-        F.struct(*request_row.columns).alias("requests"),
+        F.struct("request_count", "error_count", "error_rate", "average_latency_ms", "p95_latency_ms", "max_latency_ms").alias("requests"),
         F.struct(
             "prediction_count",
             "predicted_late_count",
@@ -166,8 +204,8 @@ def monitoring_summary(
         ).alias("drift"),
         names.alias("alerts"),
         F.struct(
-            requests.report.select("invalid").scalar().alias("requests"),
-            predictions.report.select("invalid").scalar().alias("predictions"),
+            F.col("_invalid_requests").alias("requests"),
+            F.col("_invalid_predictions").alias("predictions"),
         ).alias("invalid_log_records"),
     )
 

@@ -198,3 +198,13 @@ def test_too_few_predictions_and_bad_lines(spark, tmp_path):
 def test_a_fit_that_does_not_reach_its_optimum_is_an_error(stages):
     with pytest.raises(FitError, match="2 of 2 candidates"):
         model.fit_grid(stages.features("validation"), [(1.0, None), (0.01, None)], max_passes=2)
+
+
+def test_summary_parses_each_log_once(spark):
+    mixed = lines(spark, ["not-json", '{"event": "prediction", "output": {"late_probability": 0.5, "predicted_is_late": 2}}', '{"event": "api_request", "path": "/health"}'])
+    summary = monitor.monitoring_summary(mixed, mixed)
+    found = summary.first()
+    assert found.requests.request_count == 0 and found.predictions.prediction_count == 0
+    assert (found.invalid_log_records.requests, found.invalid_log_records.predictions) == (1, 1)
+    text = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Generate explode") == 1, "the prediction log is parsed once; the request log was, before its figures were written"
