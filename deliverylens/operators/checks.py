@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from deliverylens.errors import GrainError, LeakageError
 from deliverylens.session import cut_lineage
 
-# Candidate keys by table.
+# Fixed values of the data model, down to the leakage columns. Candidate keys by table.
 CANDIDATE_KEYS = {
     "orders": ["order_id"],
     "customers": ["customer_id"],

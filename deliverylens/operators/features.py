@@ -74,7 +74,7 @@ def engineer_features(df: DataFrame) -> DataFrame:
     """Add the eight engineered columns; row-wise native expressions only."""
     absent = missing_columns(df, ENGINEERING_INPUTS)
     if absent:
-        raise ValueError("columns required for feature engineering are missing: " + ", ".join(sorted(absent)))
+        raise ValueError(f"cannot engineer features without {sorted(absent)}")
     df = df.withColumns({c: dates.parse_timestamp(c) for c in TIMESTAMP_INPUTS})
     bought = F.col("order_purchase_timestamp")
     return df.withColumns(

@@ -23,7 +23,7 @@ DATE_COLUMNS = {
     "order_reviews": ("review_creation_date", "review_answer_timestamp"),
 }
 
-# Order of the output columns, by the part that supplies them.
+# Order of the output columns, by the part that supplies them: fixed values of the data model.
 ORDER_COLUMNS = (
     "order_id",
     "customer_id",

@@ -23,7 +23,7 @@ STATES = (
 
 @dataclass(frozen=True)
 class Rules:
-    """Limits of the labelled table. The defaults are those of the real data set."""
+    """Limits of the labelled table. The defaults are fixed values, those of the real data set."""
 
     row_count: tuple[int, int] = (90000, 110000)
     columns: Sequence[str] = LABELLED_COLUMNS
