@@ -12,6 +12,7 @@ from fractions import Fraction
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from compare import differences
 from conftest import SF_DIR
@@ -229,6 +230,16 @@ def test_rank_queue_merges_long_pieces(alphabet):
     assert queue.top == 0 and not queue.buckets
 
 
+def test_plain_ranges_split_as_the_public_pattern():
+    assert byte_bpe.PUBLIC == public_tokenizers.PATTERN
+    whole, split = regex.compile(public_tokenizers.PATTERN).findall, byte_bpe.splitter(public_tokenizers.PATTERN)
+    kinds, draw = "aé0²'s \n\t\x1c\x85\xa0.,_ſ日\u2003", random.Random(5)
+    texts = [a + chr(i) + b for i in range(0x260) for a in kinds for b in kinds]
+    texts += ["".join(draw.choices(kinds, k=60)) for _ in range(2000)] + ["".join(draw.choices(kinds[:-2], k=60)) for _ in range(2000)]
+    assert [split(text) for text in texts] == [whole(text) for text in texts]
+    assert byte_bpe.splitter(r"[\s\S]+")("two words") == ["two words"]
+
+
 def test_lm_contrast_equals_plain_counts(docs, rows, empty):
     got = lm_contrast.score(docs, F.col("source") == "s1").collect()
     words = [((r[1] or "").encode().lower().split(), r[3] == "s1") for r in rows]
