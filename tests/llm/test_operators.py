@@ -462,6 +462,18 @@ def test_toxic_string_deep_in_a_long_word_is_learned(spark):
     assert len(windows) == 50 and np.mean([gains.of(w) > 0 for w in windows]) > 0.9
 
 
+def test_short_toxic_words_gain(spark):
+    draw, marks = random.Random(6), ["zurk", "quoxy", "vixzon"]
+    words = ["".join(draw.choices("abcdefghi", k=draw.randint(2, 9))) for _ in range(400)]
+    rows = [(i, " ".join(draw.choices(words, k=40) + draw.choices(marks, k=2) * (i % 2) + draw.choices(words, k=40))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int"))
+    gains = toxicity.Gains(model.toxic, model.ordinary)
+    assert all(gains.of(mark.encode()) > 2 for mark in marks)
+    held = [(r.score >= 0.5) == r.rest.doc_id % 2 for r in toxicity.score(docs.where("doc_id >= 300"), model).collect()]
+    assert np.mean(held) > 0.95
+
+
 def test_names_of_extra_columns_do_not_clash(spark):
     rows = [(i, f"word{i} and others {i % 7}", f"s{i % 3}", i, -i, 5, "x") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, place long, Slot long, slot_ int, `a.b` string")
