@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from deliverylens.llm import common
 from deliverylens.llm.common import NO_ID, U64, Powers, as_bytes, mix, order_key, prefix_hash, ship, small_batches
-from deliverylens.llm.components import components
+from deliverylens.llm.components import components, dealt_join
 from deliverylens.session import run_dir
 
 ship(__name__)
@@ -210,7 +210,7 @@ def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def written(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # no job to look for the schema
 
 
 def could_link(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -218,7 +218,7 @@ def could_link(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     a = signatures.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
     b = signatures.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
     size = F.least("n_a", "n_b") * DENOMINATOR >= F.greatest("n_a", "n_b") * NUMERATOR
-    joined = pairs.join(b, "b").join(a, "a").where(size)
+    joined = dealt_join(dealt_join(pairs, b, "b"), a, "a").where(size)
     return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(surviving, "a long, b long, share double")
 
 
@@ -226,47 +226,47 @@ def do_link(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(u, v) of the pairs confirmed on their full sets."""
     a = texts.select(F.col("node").alias("a"), F.col("bytes").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("bytes").alias("text_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "text_a", "text_b", "b").mapInArrow(confirmed, "u long, v long")
+    return dealt_join(dealt_join(pairs, b, "b"), a, "a").select("a", "text_a", "text_b", "b").mapInArrow(confirmed, "u long, v long")
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose nodes have no common component yet."""
     a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
     b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
+    joined = dealt_join(dealt_join(pairs, a, "a", "left"), b, "b", "left")
     return joined.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).drop("label_a", "label_b")
 
 
 def mixed(placed: DataFrame) -> DataFrame:
     """The rows of buckets that hold several components."""
     several = placed.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
-    return placed.join(several, "band")
+    return dealt_join(placed, several, "band")
 
 
 def across_components(members: DataFrame, labels: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
     """(u, v): links between components whose nodes share a bucket."""
-    placed = members.select("band", "at", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    placed = written(mixed(placed).join(signatures.select("node", "n"), "node"), "mixed")
+    placed = dealt_join(members.select("band", "at", "node"), labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = written(dealt_join(mixed(placed), signatures.select("node", "n"), "node"), "mixed")
 
     # A link's shingles lie in both components, so a node needs enough that do.
-    nodes = placed.groupBy("node").agg(F.min("label").alias("label"), F.min("n").alias("n"))
-    full = written(texts.join(nodes.select("node"), "node").mapInArrow(details, "node long, s array<long>"), "details")
-    each = full.select("node", F.explode("s").alias("h")).join(nodes.select("node", "label"), "node")
+    nodes = written(placed.groupBy("node").agg(F.min("label").alias("label"), F.min("n").alias("n")), "mixed")
+    full = written(dealt_join(texts, nodes.select("node"), "node").mapInArrow(details, "node long, s array<long>"), "details")
+    each = dealt_join(full, nodes.select("node", "label"), "node").select("node", F.explode("s").alias("h"), "label")
     both = each.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("h")
-    shared = each.join(both, "h").groupBy("node").agg(F.count(F.lit(1)).alias("f"))
+    shared = written(dealt_join(each, both, "h").groupBy("node").agg(F.count(F.lit(1)).alias("f")), "shared")
     # The least size beside a node, in any of its buckets, that a link allows.
     beside = placed.groupBy("band").agg(F.min("n").alias("low"))
-    low = placed.join(beside, "band").groupBy("node").agg(F.min("low").alias("low"))
-    able = nodes.join(shared, "node").join(low, "node")
+    low = dealt_join(placed, beside, "band").groupBy("node").agg(F.min("low").alias("low"))
+    able = dealt_join(dealt_join(nodes, shared, "node"), low, "node")
     other = F.greatest(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR), F.col("low"))
     able = able.where(F.col("f") * (DENOMINATOR + NUMERATOR) >= NUMERATOR * (F.col("n") + other)).select("node", "f")
-    left = written(mixed(placed.join(able, "node")), "able")
+    left = written(mixed(dealt_join(placed, able, "node")), "able")
 
     # Nodes outside the largest component of a bucket (minor) meet all of the bucket, in blocks by a hash of the node.
     sizes = left.groupBy("band", "label").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("size"))
     top = F.max(F.struct("count", "label", "size"))
     sizes = sizes.groupBy("band").agg(top.alias("top"), F.sum("count").alias("all"), F.sum("size").alias("shingles"))
-    rows = left.join(sizes, "band").withColumn("minor", F.col("label") != F.col("top.label"))
+    rows = dealt_join(left, sizes, "band").withColumn("minor", F.col("label") != F.col("top.label"))
     blocks_of = lambda count, size: F.ceil(F.greatest(count / BLOCK, size / BLOCK_SHINGLES))
     asking = blocks_of(F.col("all") - F.col("top.count"), F.col("shingles") - F.col("top.size"))
     asked = blocks_of(F.col("all"), F.col("shingles"))
@@ -274,8 +274,8 @@ def across_components(members: DataFrame, labels: DataFrame, signatures: DataFra
     use = ("band", "at", "node", "label", "n", "f", "minor")
     queries = rows.where("minor").select(*use, F.lit(True).alias("asks"), block(asking).alias("i"), asked.alias("c")).select("*", blocks(F.col("c")).alias("j"))
     others = rows.select(*use, F.lit(False).alias("asks"), block(asked).alias("j"), asking.alias("c")).select("*", blocks(F.col("c")).alias("i"))
-    sets = full.join(signatures.select("node", "sig"), "node")
-    pairs_of_blocks = queries.drop("c").unionByName(others.drop("c")).join(sets, "node").groupBy("band", "i", "j")
+    sets = dealt_join(full, signatures.select("node", "sig"), "node")
+    pairs_of_blocks = dealt_join(queries.drop("c").unionByName(others.drop("c")), sets, "node").groupBy("band", "i", "j")
     return pairs_of_blocks.applyInArrow(block_links, "u long, v long")
 
 
@@ -301,13 +301,13 @@ def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     turn = F.xxhash64("node", "band")
     leaders = bands.groupBy("band").agg(F.min(F.struct(turn.alias("t"), "node")).alias("first"), F.count(F.lit(1)).alias("size"))
     leaders = leaders.where("size > 1").select("band", F.col("first.node").alias("leader"))
-    members = written(bands.join(leaders, "band"), "members")
+    members = written(dealt_join(bands, leaders, "band"), "members")
 
     # What the checks need of these nodes: signature, size, and the text of one document each.
     wanted = members.select("node").distinct()
-    signatures = written(one.join(wanted, "node"), "signatures")
-    picked = nodes.join(wanted, "node").groupBy("node").agg(F.min(F.struct("ord", "th")).alias("d")).select("node", "d.ord", "d.th")
-    texts = written(keyed.join(picked, ["ord", "th"]).select("node", "bytes").dropDuplicates(["node"]), "texts")
+    signatures = written(dealt_join(one, wanted, "node"), "signatures")
+    picked = dealt_join(nodes, wanted, "node").groupBy("node").agg(F.min(F.struct("ord", "th")).alias("d")).select("node", "d.ord", "d.th")
+    texts = written(dealt_join(keyed, picked, ["ord", "th"]).select("node", "bytes").dropDuplicates(["node"]), "texts")
 
     # Candidates of leaders; first the best of each node, then what is still apart.
     stars = members.where("node <> leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.lit(1).alias("x")).drop("x")
@@ -315,18 +315,18 @@ def find_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a"))
     links = written(do_link(best, texts), "links")
     labels = written(components(links), "labels")
-    links2 = written(do_link(apart(likely.join(best, ["a", "b"], "left_anti"), labels), texts), "links")
+    links2 = written(do_link(apart(dealt_join(likely, best, ["a", "b"], "left_anti"), labels), texts), "links")
     labels = written(components(as_links(labels).union(links2)), "labels")
 
     links3 = written(across_components(members, labels, signatures, texts), "links")
     if not links3.isEmpty():
         labels = written(components(as_links(labels).union(links3)), "labels")
 
-    placed = nodes.select("ord", "th", "n", "node").join(labels, "node", "left")
+    placed = dealt_join(nodes.select("ord", "th", "n", "node"), labels, "node", "left")
     alone = F.xxhash64("ord", "th")  # a text without words has no node
     placed = placed.withColumn("group", F.struct(F.col("node").isNull().alias("bare"), F.coalesce("label", "node", alone).alias("g")))
     least = placed.where("node is not null").groupBy("group").agg(F.min("ord").alias("low"))
-    return placed.join(least, "group", "left").select("ord", "th", "n", F.coalesce("low", "ord").alias("least"))
+    return dealt_join(placed, least, "group", "left").select("ord", "th", "n", F.coalesce("low", "ord").alias("least"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -342,4 +342,4 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column
     """The documents that are the first of their group; a bare text is a group of its own."""
     gone = find_groups(docs, id_column, text_column).where("ord > least").select(F.col("ord").alias("gone_ord"), F.col("th").alias("gone_th")).distinct()
     here = (order_key(id_column) == F.col("gone_ord")) & (F.hash(text_column) == F.col("gone_th"))
-    return docs.join(gone, here, "left_anti")
+    return dealt_join(docs, gone, here, "left_anti")

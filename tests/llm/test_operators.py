@@ -19,7 +19,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from deliverylens.llm import byte_bpe, common, lm_contrast, near_dedup, pfair_mix, quality_fm, quality_rules, quartile_digest, suffix_dedup, toxicity, url_filter
-from deliverylens.llm.components import components
+from deliverylens.llm.components import _large_star, _small_star, components
 from deliverylens.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ord long, bytes string, th int"
@@ -188,6 +188,17 @@ def test_components_of_chains_and_hubs(spark):
     assert got == {**dict.fromkeys(range(21), 0), **dict.fromkeys(range(100, 130), 100)}
 
 
+def test_near_dedup_asks_little_of_the_driver(spark, docs, capsys):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(50)], "u long, v long")
+    for df in (_small_star(_large_star(edges)), near_dedup.drop_near_duplicates(docs)):
+        df.explain()
+        assert "Broadcast" not in capsys.readouterr().out
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    assert components(edges).count() == 51
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 60
+
+
 def test_quality_classifier_on_held_out_rows(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     scored = QUERIES["op3_quality_classifier"](spark, "/root/testdata/sf0.01").collect()
