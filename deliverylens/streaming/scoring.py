@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from deliverylens.operators.score import check_contract, mark_lines, score_rows, split_marked, with_version
+from deliverylens.session import short_lived_shuffles
 from deliverylens.sources.bundle import Bundle
 from deliverylens.sources.orders_file import ORDER_FIELDS, ORDER_SCHEMA
 
@@ -53,12 +54,16 @@ def start_scoring(scored: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def start_scoring_lines(lines: DataFrame, bundle: Bundle, scored: str, rejected: str, checkpoint: str) -> StreamingQuery:
+def start_scoring_lines(
+    lines: DataFrame, bundle: Bundle, scored: str, rejected: str, checkpoint: str, partitions: int | None = None
+) -> StreamingQuery:
     """Score lines as they arrive: every line that is not blank ends in exactly one of two folders.
 
     A batch is checked and written once, and both sinks come from what was written.
     Each batch has a folder of its own in both, which is replaced when the batch
-    runs again after a failure, so nothing is lost or doubled.
+    runs again after a failure, so nothing is lost or doubled. ``partitions`` is for
+    batches of few compressed files, each of which one task reads: the lines of a
+    batch are dealt to so many.
     """
     spark = lines.sparkSession
     for path, schema in ((scored, SCORED_SCHEMA), (rejected, REJECTED_SCHEMA)):
@@ -66,7 +71,9 @@ def start_scoring_lines(lines: DataFrame, bundle: Bundle, scored: str, rejected:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         checked = f"{checkpoint}-checked"
-        mark_lines(batch).write.mode("overwrite").parquet(checked)
+        dealt = batch if partitions is None else batch.repartition(partitions)
+        with short_lived_shuffles(batch.sparkSession):
+            mark_lines(dealt).write.mode("overwrite").parquet(checked)
         valid, bad = split_marked(batch.sparkSession.read.parquet(checked))
         with_version(score_rows(valid, bundle), bundle).write.mode("overwrite").parquet(f"{scored}/batch={batch_id}")
         bad.select("line", "reasons").write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
