@@ -112,11 +112,12 @@ def log_predictions(
     model_type: str,
     model_version: str,
     threshold: float,
+    compression: str = "none",
 ) -> str:
     """Append a request line and one line per scored row; returns the request id.
 
     The size in the request line is counted while the rows are written, so the
-    scoring runs once.
+    scoring runs once. Files of a log may differ in ``compression``.
     """
     from pyspark.sql import Observation
 
@@ -131,7 +132,7 @@ def log_predictions(
         model_version=model_version,
         threshold=threshold,
     )
-    lines.write.mode("append").text(path)
+    lines.write.mode("append").option("compression", compression).text(path)
     request = spark.range(1).select(
         F.to_json(
             F.struct(
@@ -147,5 +148,5 @@ def log_predictions(
             )
         ).alias("value")
     )
-    request.write.mode("append").text(path)
+    request.write.mode("append").option("compression", compression).text(path)
     return request_id

@@ -2,15 +2,18 @@
 
 import re
 import time
+from pathlib import Path
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
 from deliverylens.operators.labels import add_label, labelable
 from deliverylens.operators.mart import build_order_mart
+from deliverylens.operators.score import read_rejected, score_and_log
 from deliverylens.plans.queries import _order_lines, fixed_bundle
 from deliverylens.plans.stages import Stages
-from deliverylens.sources.orders_file import ORDER_FIELDS, ORDER_SCHEMA
+from deliverylens.sources.logs import read_jsonl
+from deliverylens.sources.orders_file import ORDER_FIELDS
 from deliverylens.sources.tables import SOURCE_SCHEMAS, write_checked
 from deliverylens.streaming import scoring as streams
 
@@ -97,3 +100,24 @@ def test_lines_of_few_files_are_dealt_to_tasks(spark, stages, tmp_path):
         assert len(list((tmp_path / f"state{tasks}-checked").glob("part-*"))) == (tasks or 1)
         found[tasks] = sorted(map(str, streams.scored_lines(spark, out[0]).collect() + streams.rejected_lines(spark, out[1]).collect()))
     assert len(found[4]) == 32 and found[4] == found[None]
+
+
+def test_score_and_log_compresses_all_that_it_writes_as_text(spark, stages, tmp_path):
+    some = {"order_id": F.col("id"), "item_count": F.when(F.col("id") % 10 == 0, "much").otherwise("2"), "customer_state": F.concat(F.lit("state "), F.col("id"))}
+    rows = spark.range(400).coalesce(2).select(*[some.get(c, F.lit(None).cast("string")).alias(c) for c in ORDER_FIELDS])
+    sinks = [str(tmp_path / n) for n in ("scores", "rejected", "log")]
+    for name, codec in (("plain.csv", "none"), ("packed.csv", "gzip")):
+        rows.write.option("header", True).option("compression", codec).csv(str(tmp_path / name))
+        scored = score_and_log(spark, str(tmp_path / name), *sinks, fixed_bundle(stages))
+        ids = {int(r.order_id) for r in scored.collect()}
+        bad = read_rejected(spark, sinks[1]).collect()
+        assert ids == {i for i in range(400) if i % 10} and {int(r.order_id) for r in bad} == set(range(0, 400, 10))
+        assert {r.item_count for r in bad} == {"much"} and {tuple(r.reasons) for r in bad} == {("item_count is not a number",)}
+    # The log is appended to, the others are replaced: 360 predictions and a request in each of two runs.
+    report = read_jsonl(spark, sinks[2]).report.first()
+    assert (report.lines, report.invalid) == (722, 0)
+    for sink in sinks:
+        files = list(Path(sink).glob("part-*"))
+        text = sum(len(r.value) + 1 for r in spark.read.text(sink).collect())
+        assert files and all(f.name.endswith(".gz") for f in files)
+        assert sum(f.stat().st_size for f in files) < text / 2
